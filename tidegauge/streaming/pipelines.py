@@ -1,0 +1,93 @@
+"""Streaming word counts and windowed means over file streams."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tidegauge.functions.scalar import space_fields
+from tidegauge.session import fresh_path
+
+
+def file_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    reader = spark.readStream.format(fmt).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path)
+
+
+def running_word_counts(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Count per space-separated word over everything seen so far."""
+    return (
+        lines.select(F.explode(space_fields(F.col(column))).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("count"))
+    )
+
+
+def windowed_means(events: DataFrame, ts: str, value: str, width: str, lateness: str) -> DataFrame:
+    """Tumbling-window means; a window is final once the watermark passes its end."""
+    return (
+        events.withWatermark(ts, lateness)
+        .groupBy(F.window(ts, width))
+        .agg(F.avg(value).alias(value))
+        .select(F.col("window.start").alias("start"), value)
+    )
+
+
+def start_console(
+    stream: DataFrame, mode: str = "complete", every: str = "2 seconds"
+) -> StreamingQuery:
+    return (
+        stream.writeStream.outputMode(mode)
+        .format("console")
+        .option("truncate", "false")
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
+def run_bounded(query: StreamingQuery, seconds: float) -> None:
+    """Let a query run for at most ``seconds``, then stop it."""
+    query.awaitTermination(seconds)
+    query.stop()
+
+
+def drain(
+    stream: DataFrame, mode: str, label: str = "stream",
+    before_write: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Process all available input and return what was written.
+
+    Each micro-batch is written to its own folder of the shared space; a retried
+    batch overwrites its folder, so a result is never counted twice.  In complete
+    mode the last batch holds the whole result.
+    """
+    spark = stream.sparkSession
+    root = fresh_path(spark, label)
+    written: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        shaped = before_write(batch) if before_write else batch
+        shaped.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+        written.append(number)
+
+    query = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{root}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if not written:
+        return spark.createDataFrame([], stream.schema)
+    numbers = [max(written)] if mode == "complete" else sorted(set(written))
+    return spark.read.schema(stream.schema).parquet(*[f"{root}/out/batch={n}" for n in numbers])
