@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import with_halo
 from tidegauge.operators.series import rolling_zscore
+from tidegauge.session import materialise, shuffle_tasks
 
 PAIR_CHUNK_ROWS = 8_192  # thousands of pairs per row: smaller chunks, more tasks
+LONGS_PER_TASK = 32  # long windows that one task scores for a chunk
 
 Z_LIMIT = 5.0
 Z_BINS = 21  # odd, so that the frequent z = 0 lies inside a bin
@@ -63,7 +65,10 @@ def pair_counts(
         F.min(column).alias("_low"), F.max(column).alias("_high"), F.avg(column).alias("_mid"),
     )
     source = lookup_join(df.select(rn, F.col(column).cast("double").alias("_x")), bounds, [])
-    pieces = with_halo(source, rn, before=widest, after=1, chunk=chunk)
+    blocks = [list(longs)[i : i + LONGS_PER_TASK] for i in range(0, len(longs), LONGS_PER_TASK)]
+    pieces = with_halo(source, rn, before=widest, after=1, chunk=chunk).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1)))
+    )
     schema = "short_window int, long_window int, zb int, yb int, n long"
 
     def count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -87,20 +92,23 @@ def pair_counts(
             return full[rows]
 
         cells_found, labels = [], []
-        for g in longs:
+        for g in blocks[pdf["_block"].iloc[0]]:
             long_mean, begin = mean(g)
             variance = (squares[at + 1] - squares[begin] - g * long_mean**2) / (g - 1)
             usable = (place[at] >= g - 1) & (variance > 1e-12 * max((high - low) ** 2, 1e-300))
+            long_part, deviation, y_part = long_mean[usable], np.sqrt(variance[usable]), yb[usable]
             for s in shorts:
                 if s >= g:
                     continue
                 short_mean, _ = mean(s)
-                z = (short_mean[usable] - long_mean[usable]) / np.sqrt(variance[usable])
+                z = (short_mean[usable] - long_part) / deviation
                 zb = np.floor((np.round(z, 9) + Z_LIMIT) * (Z_BINS / (2 * Z_LIMIT)))
                 zb = np.clip(zb, 0, Z_BINS - 1).astype(int)
-                cells = np.bincount(zb * Y_BINS + yb[usable], minlength=Z_BINS * Y_BINS)
+                cells = np.bincount(zb * Y_BINS + y_part, minlength=Z_BINS * Y_BINS)
                 cells_found.append(cells)
                 labels.append((s, g))
+        if not labels:
+            return pd.DataFrame(columns=["short_window", "long_window", "zb", "yb", "n"])
         counts = np.array(cells_found)
         pair, cell = np.nonzero(counts)
         windows = np.array(labels)[pair]
@@ -112,7 +120,8 @@ def pair_counts(
         )
 
     return (
-        pieces.groupBy("_chunk")
+        pieces.repartition(shuffle_tasks(df.sparkSession), "_chunk", "_block")
+        .groupBy("_chunk", "_block")
         .applyInPandas(count_pairs, schema)
         .groupBy("short_window", "long_window", "zb", "yb")
         .agg(F.sum("n").alias("n"))
@@ -123,7 +132,7 @@ def window_pair_scores(
     df: DataFrame, column: str, shorts: Sequence[int], longs: Sequence[int], rn: str = "rn"
 ) -> DataFrame:
     """Mutual information of each pair's z-score with the next value."""
-    counts = pair_counts(df, column, shorts, longs, rn)
+    counts = materialise(pair_counts(df, column, shorts, longs, rn), "pair-counts")
     return mutual_information(counts, "zb", "yb", keys=["short_window", "long_window"])
 
 

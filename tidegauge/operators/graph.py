@@ -17,7 +17,7 @@ from tidegauge.operators.joins import (
     lookup_join,
     salted_lookup_join,
 )
-from tidegauge.session import fresh_path, materialise
+from tidegauge.session import fresh_path, materialise, shuffle_tasks
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -55,11 +55,10 @@ def page_rank(
     With ``normalise`` the ranks are scaled to sum to the vertex count, which only
     matters when vertices without outgoing edges let rank drain away.
 
-    Links are aggregated once and stored bucketed by source, so that an iteration
-    shuffles vertices but not edges.  A source with more than ``per_salt`` links is
+    Links and vertices are stored bucketed, so that the only shuffle of an iteration is
+    that of the (partially summed) contributions to their targets.  A source with more than ``per_salt`` links is
     split over salts, and its rank is copied to each of them.
     """
-    spark = edges.sparkSession
     pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("_m"))
     out = edges.groupBy("src").agg(F.count("*").alias("_out"))
     weighted = lookup_join(pairs, out, ["src"]).select(
@@ -72,46 +71,58 @@ def page_rank(
         .select(F.col("src").alias("id"), F.ceil(F.col("_k") / per_salt).cast("int").alias("_salts"))
     )
     hot = materialise(hot, "hot")  # at most links / per_salt rows
-    salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
-    links = weighted.join(F.broadcast(hot), F.col("src") == F.col("id"), "left").select(
-        "src", "dst", "weight", salt.alias("_salt")
-    )
-    name = f"tidegauge_links_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        links.repartition(buckets, "src", "_salt")
-        .write.bucketBy(buckets, "src", "_salt")
-        .sortBy("src", "_salt")
-        .option("path", fresh_path(spark, "links"))
-        .saveAsTable(name)
-    )
-    stored = spark.table(name)
-    ids = materialise(vertices.select("id").distinct(), "vertices")
+    salted = not hot.isEmpty()
+    on = ["src", "_salt"] if salted else ["src"]
+    links = weighted
+    if salted:
+        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
+        links = weighted.join(F.broadcast(hot), F.col("src") == F.col("id"), "left").select(
+            "src", "dst", "weight", salt.alias("_salt")
+        )
+    stored, links_name = _bucketed(links, on, "links")
+    ids, ids_name = _bucketed(vertices.select("id").distinct(), ["id"], "vertices")
     ranks = ids.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iterations + 1):
-        senders = (
-            ranks.join(F.broadcast(hot), "id", "left")
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-            .select(F.col("id").alias("src"), "_salt", "pagerank")
-        )
+        senders = ranks.withColumnRenamed("id", "src")
+        if salted:
+            copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+            senders = ranks.join(F.broadcast(hot), "id", "left").select(
+                F.col("id").alias("src"), F.explode(copies).alias("_salt"), "pagerank"
+            )
         received = (
-            stored.join(senders.hint("shuffle_merge"), ["src", "_salt"])
+            stored.join(senders.hint("merge"), on)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("weight") * F.col("pagerank")).alias("_in"))
         )
-        ranks = ids.join(received, "id", "left").select(
+        ranks = ids.join(received.hint("merge"), "id", "left").select(
             "id",
             (F.lit(reset) + (1.0 - reset) * F.coalesce("_in", F.lit(0.0))).alias("pagerank"),
         )
         if step % cut_every == 0 or step == iterations:
             ranks = materialise(ranks, "ranks")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # the catalog entry; the ranks are written
+    for name in (links_name, ids_name):  # only the catalog entries; the ranks are written
+        edges.sparkSession.sql(f"DROP TABLE {name}")
     if not normalise:
         return ranks
     scale = ranks.agg(F.count("*") / F.sum("pagerank")).scalar()
     return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
 
 
+def _bucketed(df: DataFrame, on: list[str], label: str) -> tuple[DataFrame, str]:
+    """``df`` stored in the shared folder, bucketed and sorted; also its table name."""
+    spark = df.sparkSession
+    name = f"tidegauge_{label}_{uuid.uuid4().hex}"
+    buckets = shuffle_tasks(spark)
+    (
+        df.repartition(buckets, *on)
+        .write.bucketBy(buckets, *on)
+        .sortBy(*on)
+        .option("path", fresh_path(spark, label))
+        .saveAsTable(name)
+    )
+    return spark.table(name), name
+
+
 # ---------------------------------------------------------------- components
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import BROADCAST_ROWS
+from tidegauge.session import BROADCAST_ROWS, materialise
 
 # Rows of one key that one task of a shuffled join should handle.
 ROWS_PER_SALT = 1_000_000
@@ -34,14 +34,16 @@ def lookup_join(
 ) -> DataFrame:
     """Attach the columns of ``lookup`` (one row per key) to every row of ``big``.
 
-    The lookup is broadcast when a bounded count shows it is small.  Otherwise the
-    join shuffles, and keys of ``big`` with very many rows are spread over several
+    The lookup, usually an aggregate of a large table, is written once so that
+    counting it does not compute it twice.  It is broadcast when the count shows it is
+    small.  Otherwise the join shuffles, and keys of ``big`` with very many rows are spread over several
     salts (see :func:`salted_lookup_join`).  Nulls match nulls.  Without keys the
-    lookup is a single row, attached as a scalar subquery.
+    lookup is a single row, attached as literals.
     """
     if not on:
-        row = lookup.select(F.struct(*lookup.columns)).scalar()
-        return big.withColumns({c: row.getField(c) for c in lookup.columns})
+        row = lookup.first()
+        return big.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in lookup.schema})
+    lookup = materialise(lookup, "lookup")
     if not fits_broadcast(lookup, rows):
         return salted_lookup_join(big, lookup, on, how)
     return _attach(big, F.broadcast(lookup), on, how)

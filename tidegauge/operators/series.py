@@ -227,7 +227,7 @@ def centred_series(
 def lagged_products(
     centred: DataFrame, lags: int, keys: Sequence[str] = (), rn: str = "rn"
 ) -> DataFrame:
-    """``keys, lag, s``: sum of products of values ``lag`` rows apart, for 0..lags."""
+    """``keys, n, s0, lag, s``: sums of products of values ``lag`` rows apart, 0..lags."""
     lagged = sliding(
         centred,
         lambda w: {f"_l{k}": F.lag("_e", k).over(w) for k in range(1, lags + 1)},
@@ -240,7 +240,7 @@ def lagged_products(
     return (
         lagged.groupBy(*keys)
         .agg(entries.alias("_s"), F.max("_n").alias("n"))
-        .select(*keys, "n", F.posexplode("_s").alias("lag", "s"))
+        .select(*keys, "n", F.get("_s", F.lit(0)).alias("s0"), F.posexplode("_s").alias("lag", "s"))
     )
 
 
@@ -249,9 +249,8 @@ def autocorrelation(
 ) -> DataFrame:
     """Autocorrelation for lags 0..lags and the white-noise band ``1.96 / sqrt(n)``."""
     products = lagged_products(centred_series(df, column, keys, rn), lags, keys, rn)
-    whole = products.filter("lag = 0").select(*keys, F.col("s").alias("_s0"))
-    return lookup_join(products, whole, list(keys)).select(
-        *keys, "lag", F.try_divide("s", "_s0").alias("acf"), (1.96 / F.sqrt("n")).alias("band")
+    return products.select(
+        *keys, "lag", F.try_divide("s", "s0").alias("acf"), (1.96 / F.sqrt("n")).alias("band")
     )
 
 

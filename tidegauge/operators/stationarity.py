@@ -196,7 +196,7 @@ def kpss_test(
     else:
         squares = squares.withColumn("lags", F.lit(lags))
         widest = lags
-    products = lagged_products(centred, widest, keys, rn).drop("n")
+    products = lagged_products(centred, widest, keys, rn).drop("n", "s0")
     joined = lookup_join(products, squares, list(keys)).filter(F.col("lag") <= F.col("lags"))
     weight = F.when(F.col("lag") == 0, 1.0).otherwise(2 * (1 - F.col("lag") / (F.col("lags") + 1)))
     result = joined.groupBy(*keys, "n", "lags", "_sum_squares").agg(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import CHUNK_ROWS, exact_quantiles, with_halo
-from tidegauge.session import materialise
+from tidegauge.session import materialise, shuffle_tasks
 
 INNER_PASSES = 2
 OUTER_PASSES = 15
@@ -122,6 +122,8 @@ def _stl_whole(df, column, period, keys, rn, robust):
                 weights = _bisquare(resid, 6.0 * np.median(np.abs(resid)))
         return pdf.assign(trend=trend, seasonal=seasonal, resid=resid, weight=used)
 
+    if keys:
+        df = df.repartition(shuffle_tasks(df.sparkSession), *keys)
     return df.groupBy(*keys).applyInPandas(decompose, _with_parts(df.schema))
 
 
@@ -148,7 +150,10 @@ def _stl_by_chunk(df, column, period, keys, rn, robust, chunk):
     for step in range(OUTER_PASSES + 1 if robust else 1):
         pieces = with_halo(state, rn, keys, before=reach, after=reach, chunk=size)
         done = materialise(
-            pieces.groupBy(*keys, "_chunk").applyInPandas(one_pass, schema), "stl"
+            pieces.repartition(shuffle_tasks(df.sparkSession), *keys, "_chunk")
+            .groupBy(*keys, "_chunk")
+            .applyInPandas(one_pass, schema),
+            "stl",
         )
         if not robust or step == OUTER_PASSES:
             break

@@ -165,6 +165,8 @@ def char_windows(
     others = [c for c in df.columns if c != column]
     size = stride * max(block_windows, -(-(length + 1) // stride))
     blocks = text_blocks(df, column, size, overlap=length)
+    # windows take `length / stride` times the room of the text: spread blocks first
+    blocks = blocks.repartition(*others, "block_start")
     # a window needs its label inside the block; the block covers starts 0 .. size - 1
     last = F.least(F.length("block") - length - 1, F.lit(size - 1))
     starts = blocks.filter(F.length("block") > length).select(

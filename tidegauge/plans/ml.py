@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
 from tidegauge.operators import ml, ordered, relational, series
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import R_COLUMNS, SENSORS_SQL, sensors
+from tidegauge.session import materialise
 
 # ---------------------------------------------------------------- encoders and scalers
 
@@ -174,7 +175,7 @@ def long_sensors(spark, sf_dir):
     led = series.lead_targets(scored, R_COLUMNS)
     groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, 15)}
     melted = relational.melt_pairs(
-        led.withColumnRenamed("label", "Label"),
+        materialise(led.withColumnRenamed("label", "Label"), "features"),
         ["vec_id", "Label", "R1to7_Mean", "R8to14_Mean", "R1to7_Mean_short_zscore", "R8to14_Mean_short_zscore"],
         groups, "Sensor_ID", ["Target_R", "R"],
     )
@@ -220,7 +221,7 @@ def holdout_search(spark, sf_dir):
 @query("rf_regression")
 def rf_regression(spark, sf_dir):
     """Random forest of 200 trees, error metrics per sensor."""
-    model = RandomForestRegressor(featuresCol="features", labelCol="Target_R", seed=42)
+    model = ml.random_forest("Target_R")
     return ml.train_sensor_model(
         long_sensors(spark, sf_dir), model, ml.forest_grid(model), _FEATURES, "Target_R", "Sensor_ID"
     )
@@ -290,10 +291,9 @@ def cv_grid(spark, sf_dir):
     )
     results = []
     for model, grid in ((lr, ml.logistic_grid(lr)), (dt, ml.tree_grid(dt))):
-        best = ml.cross_validate(_stages(), model, grid, train, evaluator)
-        names = [p.name for p in grid[0]]
-        settings = ", ".join(f"{k}={v:g}" for k, v in sorted(ml.tuned_parameters(best, names).items()))
-        results.append((type(model).__name__, settings, evaluator.evaluate(best.transform(test))))
+        fitted, chosen, _ = ml.cross_validate(_stages(), model, grid, train, evaluator, ["doc_id"])
+        settings = ", ".join(f"{p.name}={v:g}" for p, v in sorted(chosen.items(), key=lambda x: x[0].name))
+        results.append((type(model).__name__, settings, evaluator.evaluate(fitted.transform(test))))
     train.unpersist()
     test.unpersist()
     return spark.createDataFrame(results, "model string, settings string, auc double")

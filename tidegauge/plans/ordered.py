@@ -9,6 +9,7 @@ from tidegauge.functions import scalar as S
 from tidegauge.operators import features, ordered, relational, series, stationarity, stl
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import R_COLUMNS, SENSORS_SQL, sensors
+from tidegauge.session import materialise
 
 # ---------------------------------------------------------------- five-minute means
 
@@ -226,7 +227,8 @@ def daily_orders(spark: SparkSession, sf_dir: str, keys=()) -> DataFrame:
         *keys, F.col("o_orderdate").cast("date").alias("day"), cents.alias("cents")
     )
     daily = series.calendar_series(orders, "day", "cents", keys)
-    return daily.withColumn("x", F.col("x") / 100_000)
+    # a few rows per day stand for all orders: write them once, read them often
+    return materialise(daily.withColumn("x", F.col("x") / 100_000), "daily")
 
 
 _DAILY_SQL = """d AS (SELECT CAST(o_orderdate AS DATE) AS day, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100000 AS x

@@ -487,13 +487,10 @@ def pivot_year_month(spark, sf_dir):
 
 @query("range_rand_ratio")
 def range_rand_ratio(spark, sf_dir):
-    """Share of random points in the unit disc, one point per line item."""
-    points = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey")
-        .repartition(8)
-        .select(F.rand(1).alias("x"), F.rand(2).alias("y"))
-    )
+    """Share of random points in the unit disc, as many points as there are line items."""
+    rows = table(spark, sf_dir, "lineitem").count()
+    parts = spark.sparkContext.defaultParallelism
+    points = spark.range(0, rows, 1, parts).select(F.rand(1).alias("x"), F.rand(2).alias("y"))
     inside = (F.col("x") * F.col("x") + F.col("y") * F.col("y") <= 1).cast("double")
     return points.agg((F.avg(inside) * 4).alias("ratio"), F.count("*").alias("points"))
 
@@ -559,24 +556,20 @@ def join_left(spark, sf_dir):
 
 @query(
     "cogroup_lists",
-    """WITH a AS (SELECT c_nationkey AS key, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS l
-                  FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY 1),
-            b AS (SELECT s_nationkey AS key, string_agg(s_suppkey::VARCHAR, ',' ORDER BY s_suppkey) AS r
-                  FROM supplier WHERE s_nationkey % 4 <> 0 GROUP BY 1)
+    """WITH a AS (SELECT CAST(floor(c_acctbal / 50) AS BIGINT) AS key, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS l
+                  FROM customer GROUP BY 1),
+            b AS (SELECT CAST(floor(s_acctbal / 50) AS BIGINT) AS key, string_agg(s_suppkey::VARCHAR, ',' ORDER BY s_suppkey) AS r
+                  FROM supplier GROUP BY 1)
        SELECT coalesce(a.key, b.key) AS key, coalesce(l, '') AS customers, coalesce(r, '') AS suppliers
        FROM a FULL JOIN b ON a.key = b.key""",
 )
 def cogroup_lists(spark, sf_dir):
-    """Customers and suppliers per nation; some nations lack one side."""
-    customers = (
-        table(spark, sf_dir, "customer")
-        .filter("c_nationkey % 3 <> 0")
-        .select(F.col("c_nationkey").alias("key"), F.col("c_custkey").alias("customer"))
+    """Customers and suppliers per band of account balance; some bands lack one side."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.floor(F.col("c_acctbal") / 50).alias("key"), F.col("c_custkey").alias("customer")
     )
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .filter("s_nationkey % 4 <> 0")
-        .select(F.col("s_nationkey").alias("key"), F.col("s_suppkey").alias("supplier"))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.floor(F.col("s_acctbal") / 50).alias("key"), F.col("s_suppkey").alias("supplier")
     )
     both = R.cogroup_lists(customers, suppliers, "key", "customer", "supplier")
     return both.select(
@@ -653,19 +646,17 @@ def group_values_list(spark, sf_dir):
 
 
 def _two_logs(spark, sf_dir):
-    """The words of the English documents and of the prompts, one line each."""
+    """The lines of all documents and the lines of the labelled documents."""
     lines = table(spark, sf_dir, "documents").select(
-        "source", F.explode(S.text_lines(F.col("text"))).alias("line")
-    )
-    return (
-        lines.filter("source <> 'src0'").select("line"),
-        lines.filter("source in ('src0', 'src1')").select("line"),
+        "doc_id", F.explode(S.text_lines(F.col("text"))).alias("line")
     )
+    labelled = table(spark, sf_dir, "labels").select("doc_id")
+    return lines.select("line"), lines.join(labelled, "doc_id", "left_semi").select("line")
 
 
-_LINES_SQL = """WITH lines AS (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents),
-    a AS (SELECT line FROM lines WHERE source <> 'src0'),
-    b AS (SELECT line FROM lines WHERE source IN ('src0', 'src1'))"""
+_LINES_SQL = """WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+    a AS (SELECT line FROM lines),
+    b AS (SELECT line FROM lines WHERE doc_id IN (SELECT doc_id FROM labels))"""
 
 
 @query(

@@ -68,3 +68,9 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Tasks per shuffle.  Passing it to ``repartition`` keeps adaptive execution from
+    merging small partitions whose rows are few but costly, as in grouped Python code."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
