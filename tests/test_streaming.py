@@ -4,22 +4,22 @@ import time
 
 from pyspark.sql import functions as F
 
-from tidegauge.streaming import pipelines
+from tidegauge.streaming import streams
 
 
 def test_word_counts_over_several_batches(spark, tmp_path):
     lines = spark.createDataFrame([("a b",), ("b  c",), ("a",)], "value string")
     lines.repartition(3).write.parquet(str(tmp_path / "in"))
-    stream = pipelines.file_stream(spark, str(tmp_path / "in"), lines.schema, 1)
-    got = pipelines.drain(pipelines.running_word_counts(stream), "complete")
+    stream = streams.file_stream(spark, str(tmp_path / "in"), lines.schema, 1)
+    got = streams.drain(streams.running_word_counts(stream), "complete")
     assert {r["word"]: r["count"] for r in got.collect()} == {"a": 2, "b": 2, "c": 1, "": 1}
 
 
 def test_console_query_stops_in_time(spark, tmp_path):
     spark.range(1).select(F.lit("x y").alias("value")).write.text(str(tmp_path / "in"))
     schema = spark.read.text(str(tmp_path / "in")).schema
-    stream = pipelines.file_stream(spark, str(tmp_path / "in"), schema, fmt="text")
-    query = pipelines.start_console(pipelines.running_word_counts(stream), every="1 second")
+    stream = streams.file_stream(spark, str(tmp_path / "in"), schema, fmt="text")
+    query = streams.start_console(streams.running_word_counts(stream), every="1 second")
     begin = time.time()
-    pipelines.run_bounded(query, 3)
+    streams.run_bounded(query, 3)
     assert time.time() - begin < 60 and not query.isActive

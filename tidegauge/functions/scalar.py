@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 EARTH_RADIUS_KM = 6371.0
 
-# Characters that Python's argument-less str.split treats as white space.
-WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0  -     　]+"
+# Code points that Python's argument-less str.split treats as white space.
+WHITE_SPACE = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+         0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 
 
 def space_fields(text: Column) -> Column:
@@ -21,7 +27,8 @@ def space_fields(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words between runs of any white space; never empty."""
-    return F.filter(F.split(text, WHITE_SPACE, -1), lambda w: w != "")
+    spaced = F.translate(text, WHITE_SPACE, " " * len(WHITE_SPACE))
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def text_lines(text: Column) -> Column:

@@ -59,8 +59,8 @@ def page_rank(
     that of the (partially summed) contributions to their targets.  A source with more than ``per_salt`` links is
     split over salts, and its rank is copied to each of them.
     """
-    pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("_m"))
-    out = edges.groupBy("src").agg(F.count("*").alias("_out"))
+    pairs = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("_m")), "pairs")
+    out = pairs.groupBy("src").agg(F.sum("_m").alias("_out"))
     weighted = lookup_join(pairs, out, ["src"]).select(
         "src", "dst", (F.col("_m") / F.col("_out")).alias("weight")
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import BROADCAST_ROWS, materialise
+from tidegauge.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
 
 # Rows of one key that one task of a shuffled join should handle.
 ROWS_PER_SALT = 1_000_000
@@ -19,6 +19,11 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """File size of a written table, from the optimizer's statistics."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):
     return reduce(
         lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]
@@ -35,8 +40,8 @@ def lookup_join(
     """Attach the columns of ``lookup`` (one row per key) to every row of ``big``.
 
     The lookup, usually an aggregate of a large table, is written once so that
-    counting it does not compute it twice.  It is broadcast when the count shows it is
-    small.  Otherwise the join shuffles, and keys of ``big`` with very many rows are spread over several
+    counting it does not compute it twice.  It is broadcast when its rows and its file
+    size are both within bounds.  Otherwise the join shuffles, and keys of ``big`` with very many rows are spread over several
     salts (see :func:`salted_lookup_join`).  Nulls match nulls.  Without keys the
     lookup is a single row, attached as literals.
     """
@@ -44,7 +49,7 @@ def lookup_join(
         row = lookup.first()
         return big.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in lookup.schema})
     lookup = materialise(lookup, "lookup")
-    if not fits_broadcast(lookup, rows):
+    if stored_bytes(lookup) > BROADCAST_BYTES or not fits_broadcast(lookup, rows):
         return salted_lookup_join(big, lookup, on, how)
     return _attach(big, F.broadcast(lookup), on, how)
 

@@ -224,17 +224,20 @@ def exact_quantiles(
     )
 
 
-def value_at_rank_share(df: DataFrame, order: str, share: float):
-    """Largest ``order`` value whose percent rank is at most ``share``."""
+def values_at_rank_shares(df: DataFrame, order: str, shares: Sequence[float]) -> list:
+    """Per share, the largest ``order`` value whose percent rank is at most the share."""
     rows = df.count()
-    place = int(share * (rows - 1)) if rows > 1 else 0
-    while rows > 1 and (place + 1) / (rows - 1) <= share:
-        place += 1
-    while place > 0 and place / (rows - 1) > share:
-        place -= 1
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(place,)], "pos long")
-    return order_statistics(df.select(order), order, wanted).first()[order]
+    places = []
+    for share in shares:
+        place = int(share * (rows - 1)) if rows > 1 else 0
+        while rows > 1 and (place + 1) / (rows - 1) <= share:
+            place += 1
+        while place > 0 and place / (rows - 1) > share:
+            place -= 1
+        places.append(place)
+    wanted = df.sparkSession.createDataFrame([(p,) for p in places], "pos long")
+    found = {r["pos"]: r[order] for r in order_statistics(df.select(order), order, wanted).collect()}
+    return [found[p] for p in places]
 
 
 def chronological_split(
@@ -243,10 +246,10 @@ def chronological_split(
     """Label rows train / validation / test by percent rank of ``order``.
 
     Percent rank grows with ``order``, so the two cut values found by
-    :func:`value_at_rank_share` decide every row: the data itself is not shuffled
+    :func:`values_at_rank_shares` decide every row: the data itself is not shuffled
     and rows with equal order values always share a label.
     """
-    first, second = [value_at_rank_share(df, order, s) for s in shares]
+    first, second = values_at_rank_shares(df, order, shares)
     return df.withColumn(
         into,
         F.when(F.col(order) <= F.lit(first), "train")

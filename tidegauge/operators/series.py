@@ -32,7 +32,10 @@ def synthetic_timestamps(
 ) -> DataFrame:
     """Gap-free timestamps in global row order: ``start + rn * step``."""
     indexed = index_rows(df, order_by)
-    step = F.make_dt_interval(mins=(F.col("rn") * step_minutes).cast("int"))
+    minutes = F.col("rn") * step_minutes
+    step = F.make_dt_interval(
+        days=F.floor(minutes / 1_440).cast("int"), mins=F.pmod(minutes, F.lit(1_440)).cast("int")
+    )
     return indexed.withColumn(into, F.lit(start).cast("timestamp_ntz") + step)
 
 

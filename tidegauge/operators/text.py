@@ -113,10 +113,8 @@ def _code_table(vocabulary: DataFrame) -> Column:
 def encode_characters(text: Column, vocabulary: DataFrame, add_start: bool = False) -> Column:
     """Text to ids; unknown characters become 0; optionally led by the start id."""
     table = _code_table(vocabulary)
-    ids = F.transform(
-        F.filter(F.split(text, "", -1), lambda c: c != ""),
-        lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(PAD)),
-    )
+    chars = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "", -1))
+    ids = F.transform(chars, lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(PAD)))
     return F.concat(F.array(F.lit(START)), ids) if add_start else ids
 
 

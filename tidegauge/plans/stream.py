@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.text import _FIELDS, lines
 from tidegauge.session import fresh_path
-from tidegauge.streaming import pipelines
+from tidegauge.streaming import streams
 
 
 def _staged(spark, df, label: str):
@@ -15,14 +15,14 @@ def _staged(spark, df, label: str):
     folder = fresh_path(spark, label)
     df.write.parquet(folder)
     files = len(spark.read.parquet(folder).inputFiles())
-    return pipelines.file_stream(spark, folder, df.schema, -(-files // 3))
+    return streams.file_stream(spark, folder, df.schema, -(-files // 3))
 
 
 @query("stream_wordcount", _FIELDS + " SELECT word, count(*) AS count FROM f GROUP BY word")
 def stream_wordcount(spark, sf_dir):
     """Complete-mode word count over a file stream; equals the batch count."""
     stream = _staged(spark, lines(spark, sf_dir).select("value"), "lines")
-    return pipelines.drain(pipelines.running_word_counts(stream), "complete", "words")
+    return streams.drain(streams.running_word_counts(stream), "complete", "words")
 
 
 @query(
@@ -34,9 +34,9 @@ def stream_wordcount(spark, sf_dir):
 def stream_tumbling_25m(spark, sf_dir):
     """Append-mode window means: every window the watermark has closed."""
     events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "value")
-    means = pipelines.windowed_means(
+    means = streams.windowed_means(
         _staged(spark, events, "events"), "ts", "value", "25 minutes", "1 hour"
     )
-    return pipelines.drain(means, "append", "means").select(
+    return streams.drain(means, "append", "means").select(
         F.col("start").cast("timestamp_ntz").alias("start"), F.round("value", 6).alias("value")
     )

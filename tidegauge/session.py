@@ -8,10 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A row count up to which a lookup side may be broadcast.  The rows broadcast in
-# this library are narrow (a key and one or two numbers), so the bound keeps a
-# broadcast below a few hundred megabytes.
+# Bounds for broadcasting a written lookup table: rows, and compressed file size.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 * 2**20
 
 
 def build_session(app: str = "tidegauge", master: str | None = None, **conf: str) -> SparkSession:
