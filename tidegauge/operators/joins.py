@@ -21,7 +21,7 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def stored_bytes(df: DataFrame) -> int:
     """File size of a written table, from the optimizer's statistics."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):
