@@ -36,6 +36,7 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     rows: int = BROADCAST_ROWS,
+    derived: bool = True,
 ) -> DataFrame:
     """Attach the columns of ``lookup`` (one row per key) to every row of ``big``.
 
@@ -43,12 +44,14 @@ def lookup_join(
     counting it does not compute it twice.  It is broadcast when its rows and its file
     size are both within bounds.  Otherwise the join shuffles, and keys of ``big`` with very many rows are spread over several
     salts (see :func:`salted_lookup_join`).  Nulls match nulls.  Without keys the
-    lookup is a single row, attached as literals.
+    lookup is a single row, attached as literals.  ``derived=False`` is for a lookup
+    that is a plain scan and need not be written.
     """
     if not on:
         row = lookup.first()
         return big.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in lookup.schema})
-    lookup = materialise(lookup, "lookup")
+    if derived:
+        lookup = materialise(lookup, "lookup")
     if stored_bytes(lookup) > BROADCAST_BYTES or not fits_broadcast(lookup, rows):
         return salted_lookup_join(big, lookup, on, how)
     return _attach(big, F.broadcast(lookup), on, how)

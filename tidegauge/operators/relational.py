@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.scalar import skewness_adjusted
-from tidegauge.operators.joins import lookup_join, salted_lookup_join
+from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import exact_quantiles, index_rows
 
 
@@ -242,8 +242,11 @@ def cogroup_lists(
 
 
 def key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """All pairs per key (inner or left); keys with very many left rows are salted."""
-    return salted_lookup_join(left, right, on, how)
+    """All pairs per key (inner or left).
+
+    A small right side is broadcast; otherwise keys with very many left rows are salted.
+    """
+    return lookup_join(left, right, on, how, derived=False)
 
 
 def bag_union(left: DataFrame, right: DataFrame) -> DataFrame:

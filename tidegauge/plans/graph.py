@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators import graph
+from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
+from tidegauge.session import materialise
 
 Graph = tuple[DataFrame, DataFrame]
 
@@ -54,15 +56,23 @@ def geography_graph(spark: SparkSession, sf_dir: str) -> Graph:
 
 
 def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    def scan(name: str, **columns: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(*[F.col(c).alias(a) for a, c in columns.items()])
+
+    lines = scan("lineitem", order="l_orderkey", supplier="l_suppkey", price="l_extendedprice")
+    suppliers = scan("supplier", supplier="s_suppkey", dst="s_nationkey")
+    customers = scan("customer", customer="c_custkey", src="c_nationkey")
+    orders = scan("orders", order="o_orderkey", customer="o_custkey")
+    # nations come to the orders first, so that a dominant customer meets orders, not lines
+    placed = lookup_join(orders, customers, ["customer"], "inner", derived=False)
+    sent = lookup_join(lines, suppliers, ["supplier"], "inner", derived=False)
+    cents = F.round(F.col("price") * 100).cast("long")
     flows = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst"))
+        lookup_join(sent, placed.select("order", "src"), ["order"], "inner", derived=False)
+        .groupBy("src", "dst")
         .agg(F.sum(cents).alias("flow"))
     )
+    flows = materialise(flows, "flows")
     mean = flows.agg(F.avg("flow")).scalar()
     edges = flows.filter(F.col("flow") > mean).select("src", "dst")
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id")), edges

@@ -303,10 +303,24 @@ def acf(spark, sf_dir):
     return values.select("lag", F.round("acf", 6).alias("acf"), F.round("band", 6).alias("band"))
 
 
-@query("pacf")
+@query(
+    "pacf",
+    f"""WITH RECURSIVE {_DECOMPOSED_SQL}, e AS (SELECT rn, resid - (SELECT avg(resid) FROM z) AS e FROM z WHERE resid IS NOT NULL),
+        a AS (SELECT k.lag AS lag, sum(a.e * b.e) / (SELECT sum(e * e) FROM e) AS r
+              FROM range(1, 37) AS k(lag) JOIN e a ON true JOIN e b ON b.rn = a.rn - k.lag GROUP BY 1),
+        v AS (SELECT list(r ORDER BY lag) AS r FROM a),
+        dl AS (SELECT 1 AS k, [r[1]] AS phi, r[1] AS last, r FROM v
+               UNION ALL
+               SELECT k + 1, list_concat([phi[i] - nxt * phi[k + 1 - i] for i in range(1, k + 1)], [nxt]), nxt, r
+               FROM (SELECT *, (r[k + 1] - list_sum([phi[i] * r[k + 1 - i] for i in range(1, k + 1)]))
+                               / (1 - list_sum([phi[i] * r[i] for i in range(1, k + 1)])) AS nxt FROM dl WHERE k < 36))
+        SELECT 0 AS lag, 1.0::DOUBLE AS pacf, round(1.96 / sqrt((SELECT count(*) FROM e)), 6) AS band
+        UNION ALL SELECT k, round(last, 6), round(1.96 / sqrt((SELECT count(*) FROM e)), 6) FROM dl""",
+)
 def pacf(spark, sf_dir):
     parts = series.seasonal_decompose(daily_orders(spark, sf_dir), "x", PERIOD)
-    return series.partial_autocorrelation(parts, "resid", 36)
+    values = series.partial_autocorrelation(parts, "resid", 36)
+    return values.select("lag", F.round("pacf", 6).alias("pacf"), F.round("band", 6).alias("band"))
 
 
 @query("adf_test")
@@ -328,11 +342,41 @@ def kpss_test(spark, sf_dir):
     return result.select("n", "lags", F.round("statistic", 6).alias("statistic"))
 
 
-@query("kpss_auto")
+_KEYED_DAILY_SQL = """d AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day,
+         sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100000 AS x FROM orders GROUP BY 1, 2),
+    c AS (SELECT p, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d GROUP BY p),
+    s AS (SELECT c.p, row_number() OVER (PARTITION BY c.p ORDER BY c.day) - 1 AS rn, CAST(coalesce(x, 0) AS DOUBLE) AS x
+          FROM c LEFT JOIN d ON c.p = d.p AND c.day = d.day)"""
+
+
+@query(
+    "kpss_auto",
+    f"""WITH {_KEYED_DAILY_SQL},
+        e AS (SELECT p, rn, x - avg(x) OVER (PARTITION BY p) AS e, count(*) OVER (PARTITION BY p) AS n FROM s),
+        g AS (SELECT a.p, a.n, k.lag, sum(a.e * b.e) AS s FROM range(0, 80) AS k(lag)
+              JOIN e a ON true JOIN e b ON a.p = b.p AND b.rn = a.rn - k.lag GROUP BY ALL),
+        h AS (SELECT p, n, sum(CASE WHEN lag = 0 THEN s / n ELSE s / (n / 2) END) AS s0, sum(lag * s / (n / 2)) AS s1
+              FROM g WHERE lag <= floor(pow(n, 2.0::DOUBLE / 9)) GROUP BY p, n),
+        l AS (SELECT p, floor(1.1447 * pow(pow(s1 / s0, 2), 1.0::DOUBLE / 3) * pow(n, 1.0::DOUBLE / 3)) AS lags FROM h),
+        v AS (SELECT g.p, n, lags, sum(s * CASE WHEN lag = 0 THEN 1 ELSE 2 * (1 - lag / (lags + 1)) END) AS lrv
+              FROM g JOIN l ON g.p = l.p WHERE lag <= lags GROUP BY ALL),
+        q AS (SELECT p, sum(cum * cum) AS ss FROM
+              (SELECT p, sum(e) OVER (PARTITION BY p ORDER BY rn) AS cum FROM e) GROUP BY p),
+        t AS (SELECT v.p, n, lags, ss / n / lrv AS st FROM v JOIN q ON v.p = q.p),
+        w AS (SELECT *, CASE WHEN st <= 0.347 THEN 0.10 WHEN st <= 0.463 THEN 0.10 - (st - 0.347) / 0.116 * 0.05
+                             WHEN st <= 0.574 THEN 0.05 - (st - 0.463) / 0.111 * 0.025
+                             WHEN st <= 0.739 THEN 0.025 - (st - 0.574) / 0.165 * 0.015 ELSE 0.01 END AS pv FROM t)
+        SELECT p AS o_orderpriority, n, CAST(lags AS INTEGER) AS lags, round(st, 6) AS statistic,
+               round(CAST(pv AS DOUBLE), 6) AS p_value,
+               CASE WHEN pv < 0.05 THEN 'non-stationary' ELSE 'stationary' END AS verdict FROM w""",
+)
 def kpss_auto(spark, sf_dir):
     """Stationarity test per order priority with the automatic bandwidth."""
     keys = ["o_orderpriority"]
-    return stationarity.kpss_test(daily_orders(spark, sf_dir, keys), "x", None, keys)
+    result = stationarity.kpss_test(daily_orders(spark, sf_dir, keys), "x", None, keys)
+    return result.withColumns(
+        {"statistic": F.round("statistic", 6), "p_value": F.round("p_value", 6)}
+    )
 
 
 @query("stl_per_series")

@@ -111,7 +111,11 @@ def sink_locale_csv(spark, sf_dir):
     )
 
 
-@query("catalog_tables")
+@query(
+    "catalog_tables",
+    """SELECT 'orders' AS name, count(*) AS "rows" FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+       UNION ALL SELECT 'events', count(*) FROM events""",
+)
 def catalog_tables(spark, sf_dir):
     """Rows per registered view, read through the catalog."""
     names = ["orders", "lineitem", "events"]
