@@ -88,8 +88,8 @@ def decimal_comma(x: Column, digits: int = 4) -> Column:
 
 def skewness_adjusted(x: Column) -> Column:
     """Bias-adjusted sample skewness (Spark's own is the population form)."""
-    n = F.count(x)
-    factor = F.sqrt((n * (n - 1)).cast("double")) / (n - 2)
+    n = F.count(x).cast("double")
+    factor = F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
     return F.when(n > 2, F.skewness(x) * factor)
 
 

@@ -19,6 +19,8 @@ from tidegauge.operators.joins import (
 )
 from tidegauge.session import fresh_path, materialise, shuffle_tasks
 
+BUCKET_ROWS = 2_000_000  # links above which PageRank stores its tables bucketed
+
 
 def degrees(edges: DataFrame) -> DataFrame:
     """In plus out degree; vertices without edges are absent."""
@@ -49,13 +51,14 @@ def undirected(edges: DataFrame) -> DataFrame:
 def page_rank(
     vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iterations: int = 10,
     normalise: bool = True, cut_every: int = 4, per_salt: int = ROWS_PER_SALT,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Fixed-iteration PageRank that starts at 1 per vertex: ``id, pagerank``.
 
     With ``normalise`` the ranks are scaled to sum to the vertex count, which only
     matters when vertices without outgoing edges let rank drain away.
 
-    Links and vertices are stored bucketed, so that the only shuffle of an iteration is
+    With more than ``bucket_rows`` links, links and vertices are stored bucketed, so that the only shuffle of an iteration is
     that of the (partially summed) contributions to their targets.  A source with more than ``per_salt`` links is
     split over salts, and its rank is copied to each of them.
     """
@@ -79,8 +82,15 @@ def page_rank(
         links = weighted.join(F.broadcast(hot), F.col("src") == F.col("id"), "left").select(
             "src", "dst", "weight", salt.alias("_salt")
         )
-    stored, links_name = _bucketed(links, on, "links")
-    ids, ids_name = _bucketed(vertices.select("id").distinct(), ["id"], "vertices")
+    tables = []
+    ids = vertices.select("id").distinct()
+    large = not fits_broadcast(pairs, bucket_rows)
+    if large:
+        stored, links_name = _bucketed(links, on, "links")
+        ids, ids_name = _bucketed(ids, ["id"], "vertices")
+        tables = [links_name, ids_name]
+    else:
+        stored, ids = materialise(links, "links"), materialise(ids, "vertices")
     ranks = ids.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iterations + 1):
         senders = ranks.withColumnRenamed("id", "src")
@@ -90,17 +100,17 @@ def page_rank(
                 F.col("id").alias("src"), F.explode(copies).alias("_salt"), "pagerank"
             )
         received = (
-            stored.join(senders.hint("merge"), on)
+            stored.join(senders.hint("merge") if large else senders, on)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("weight") * F.col("pagerank")).alias("_in"))
         )
-        ranks = ids.join(received.hint("merge"), "id", "left").select(
+        ranks = ids.join(received.hint("merge") if large else received, "id", "left").select(
             "id",
             (F.lit(reset) + (1.0 - reset) * F.coalesce("_in", F.lit(0.0))).alias("pagerank"),
         )
         if step % cut_every == 0 or step == iterations:
             ranks = materialise(ranks, "ranks")
-    for name in (links_name, ids_name):  # only the catalog entries; the ranks are written
+    for name in tables:  # only the catalog entries; the ranks are written
         edges.sparkSession.sql(f"DROP TABLE {name}")
     if not normalise:
         return ranks
