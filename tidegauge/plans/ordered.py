@@ -160,6 +160,24 @@ def lag_features(spark, sf_dir):
     )
 
 
+@query(
+    "lag_plot",
+    f"""WITH {_TYPED_SQL}, l AS (SELECT event_id, ts, value,
+        {", ".join(f"lag(value, {k}) OVER (PARTITION BY event_type ORDER BY rn) AS lag_{k}" for k in range(1, 13))} FROM ev)
+        SELECT event_id, CAST(quarter(ts) AS INTEGER) AS quarter, value,
+               unnest([{", ".join(f"'lag_{k}'" for k in range(1, 13))}]) AS lag,
+               unnest([{", ".join(f"lag_{k}" for k in range(1, 13))}]) AS earlier FROM l""",
+)
+def lag_plot(spark, sf_dir):
+    """Value against each earlier value in long form, with the quarter for colour."""
+    rows = events_in_order(spark, sf_dir, ["event_type"])
+    lagged = series.lag_columns(rows, "value", range(1, 13), ["event_type"])
+    return relational.unpivot_columns(
+        lagged.withColumn("quarter", F.quarter("ts")), ["event_id", "quarter", "value"],
+        [f"lag_{k}" for k in range(1, 13)], "lag", "earlier",
+    )
+
+
 @query(
     "lag_limits",
     f"""WITH {_TYPED_SQL}, l AS (SELECT value,
