@@ -50,7 +50,7 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 def page_rank(
     vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iterations: int = 10,
-    normalise: bool = True, cut_every: int = 4, per_salt: int = ROWS_PER_SALT,
+    normalise: bool = True, cut_every: int = 2, per_salt: int = ROWS_PER_SALT,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Fixed-iteration PageRank that starts at 1 per vertex: ``id, pagerank``.
