@@ -1,9 +1,10 @@
 """Near-duplicate documents: MinHash bands, odd sketches, exact confirmation.
 
 The shingle set of a text is sampled by MinHash.  Bands of samples bring together texts
-that may be alike; the samples are also folded into an odd sketch, a bitmap of parities
-whose XOR population count estimates a high similarity from 64 bytes.  Candidates whose
-sketches differ too much are left out, all others are compared on their full sets.
+that may be alike.  The samples of a one-permutation MinHash are folded into an odd sketch,
+a bitmap of parities whose XOR population count estimates a high similarity within about a
+hundredth from 256 bytes.  Candidates whose sketches rule out a link are left out, all
+others are compared on their full sets.
 
 Equal sets are one *class* from the start, so copies cost nothing.  Within a bucket every
 class is compared with one member drawn by a hash of bucket and class; over the bands
@@ -29,33 +30,53 @@ from tidegauge.llm import wordhash as W
 from tidegauge.llm.components import components
 from tidegauge.llm.tables import keep, numbered, ship
 
-SKETCH_BITS = 512
+#: Bits of an odd sketch, and bins of the one-permutation MinHash that fills it.
+SKETCH_BITS = 2048
+BINS_LOG2 = 16
 BLOCK = 256
 _MISS = 1e-6
-_Z = 4.9
+_Z = 4.5
 
 
 class Scheme:
-    """Samples, bands and the sketch cut for a similarity of ``percent`` / 100.
+    """Bands and the sketch cut for a similarity of ``percent`` / 100.
 
-    A pair at the threshold shares no band with a probability below one in a million;
-    the cut on the sketches is set as far out.
+    A pair at the threshold shares no band with a probability below one in a million.
     """
 
     def __init__(self, percent: int):
-        share = percent / 100
-        self.rows = 5 if share >= 0.83 else 4 if share >= 0.75 else 3
-        self.bands = max(1, math.ceil(math.log(_MISS) / math.log(1 - min(share**self.rows, 1 - 1e-9))))
-        self.samples = self.rows * self.bands
-        unlike = self.samples * (1 - share) + _Z * math.sqrt(self.samples * share * (1 - share))
-        odd = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * unlike))
-        self.cut = math.ceil(odd + _Z * math.sqrt(odd * (1 - odd / SKETCH_BITS)))
-
-
-def estimate(odd_bits: int, samples: int, bits: int = SKETCH_BITS) -> float:
-    """The similarity that ``odd_bits`` differing sketch bits stand for."""
+        self.share = percent / 100
+        self.rows = 5 if self.share >= 0.83 else 4 if self.share >= 0.75 else 3
+        miss = 1 - min(self.share**self.rows, 1 - 1e-9)
+        self.bands = max(1, math.ceil(math.log(_MISS) / math.log(miss)))
+
+    def most_odd(self, size_a, size_b, held_a, held_b) -> np.ndarray:
+        """The most differing bits that two sketches at the threshold can be expected to show.
+
+        ``size`` is the number of shingles, ``held`` the number of samples in a sketch.  The
+        samples that two sets at the threshold share are a known share of the bins that
+        their union fills, give or take the samples lost where bins collide; all others
+        differ, and the count of odd bits follows from their number.
+        """
+        share, bins, bits = self.share, float(1 << BINS_LOG2), float(SKETCH_BITS)
+        union = (size_a + size_b) / (1 + share)
+        filled = bins * -np.expm1(-union / bins)
+        lost = 1 - filled / np.maximum(union, 1)
+        common = share * filled - _Z * np.sqrt(2 * share * (1 - share) * filled * np.maximum(lost, 0)) - 1
+        apart = np.maximum(held_a + held_b - 2 * common, 0)
+        even, pair = (1 - 2 / bits) ** apart, (1 - 4 / bits) ** apart
+        odd = (1 - even) / 2
+        spread = bits * odd * (1 - odd) + bits * (bits - 1) * ((1 - 2 * even + pair) / 4 - odd * odd)
+        return np.ceil(bits * odd + _Z * np.sqrt(np.maximum(spread, 0)))
+
+
+def estimate(odd_bits: float, held_a: int, held_b: int, bits: int = SKETCH_BITS) -> float:
+    """The similarity that ``odd_bits`` differing bits of two sketches stand for."""
     free = 1 - 2 * odd_bits / bits
-    return 0.0 if free <= 0 else max(0.0, 1 + bits / (4 * samples) * math.log(free))
+    if free <= 0:
+        return 0.0
+    apart = -bits / 2 * math.log(free)
+    return max(0.0, (held_a + held_b - apart) / max(held_a + held_b + apart, 1))
 
 
 def minhash(items: np.ndarray, samples: int) -> np.ndarray:
@@ -67,13 +88,15 @@ def minhash(items: np.ndarray, samples: int) -> np.ndarray:
     return out
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps (bytes) of rows of MinHash samples; each sample flips one bit."""
-    rows, count = samples.shape
-    place = W.mix(samples ^ W.constants(count, 13)) % np.uint64(SKETCH_BITS)
-    place = place.astype(np.int64) + np.arange(rows)[:, None] * SKETCH_BITS
-    flips = np.bincount(place.ravel(), minlength=rows * SKETCH_BITS) & 1
-    return np.packbits(flips.reshape(rows, SKETCH_BITS).astype(bool), axis=1)
+def odd_sketch(items: np.ndarray) -> tuple[bytes, int]:
+    """Parity bitmap of the one-permutation MinHash samples of a sorted set, and their number.
+
+    The least item of each bin (the leading bits) is a sample and flips one bit.
+    """
+    bins = items >> np.uint64(64 - BINS_LOG2)
+    samples = items[np.flatnonzero(np.diff(bins, prepend=np.uint64(1 << BINS_LOG2)))] if len(items) else items
+    flips = np.bincount((W.mix(samples) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(flips.astype(bool)).tobytes(), len(samples)
 
 
 def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
@@ -83,7 +106,7 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
     return W.mix(parts.sum(axis=2, dtype=np.uint64) ^ W.constants(count, 15)).view(np.int64)
 
 
-_SIGNED = "_rid long, n_shingles long, class_a long, class_b long, bands array<long>, sketch binary"
+_SIGNED = "_rid long, n_shingles long, class_a long, class_b long, bands array<long>, sketch binary, held int"
 
 
 def _signatures(shingle: int, scheme: Scheme):
@@ -92,8 +115,8 @@ def _signatures(shingle: int, scheme: Scheme):
             data, offsets = W.text_buffers(batch.column("_text"))
             for first, end in W.slices(offsets):
                 sets = W.shingle_sets(W.Words(data, offsets[first : end + 1], W.SPACED), shingle)
-                samples = np.stack([minhash(s, scheme.samples) for s in sets])
-                sketches, keys = odd_sketch(samples), band_keys(samples, scheme.rows)
+                keys = band_keys(np.stack([minhash(s, scheme.rows * scheme.bands) for s in sets]), scheme.rows)
+                sketches = [odd_sketch(s) for s in sets]
                 mixed = [(int(W.mix(s).sum(dtype=np.uint64)), int(W.mix(s ^ np.uint64(77)).sum(dtype=np.uint64))) for s in sets]
                 mixed = np.array(mixed, np.uint64).view(np.int64).reshape(len(sets), 2)
                 counts = [len(s) for s in sets]
@@ -103,7 +126,8 @@ def _signatures(shingle: int, scheme: Scheme):
                     "class_a": pa.array(mixed[:, 0]),
                     "class_b": pa.array(mixed[:, 1]),
                     "bands": pa.array([k if n else None for k, n in zip(keys, counts)], pa.list_(pa.int64())),
-                    "sketch": pa.array([x.tobytes() for x in sketches], pa.binary()),
+                    "sketch": pa.array([x for x, _ in sketches], pa.binary()),
+                    "held": pa.array([n for _, n in sketches], pa.int32()),
                 })
 
     return run
@@ -133,40 +157,48 @@ def _confirming(shingle: int, percent: int):
     return run
 
 
-def _sketches_near(cut: int):
-    """Pairs of two packed blocks with different labels and sketches within the cut."""
+def _bits(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), SKETCH_BITS // 64)
+
+
+def _pairs_near(scheme: Scheme):
+    """Keeps the pairs whose sketches do not rule out a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                one, two = row["one"], row["two"]
-                ids = [np.array([m["rid"] for m in x], np.int64) for x in (one, two)]
-                labels = [np.array([m["label"] for m in x], np.int64) for x in (one, two)]
-                bits = [np.frombuffer(b"".join(m["sketch"] for m in x), np.uint64).reshape(len(x), -1) for x in (one, two)]
-                odd = np.zeros((len(one), len(two)), np.uint16)
-                for j in range(bits[0].shape[1]):
-                    odd += np.bitwise_count(bits[0][:, j, None] ^ bits[1][None, :, j])
-                i, k = np.nonzero((odd <= cut) & (labels[0][:, None] != labels[1][None, :]))
-                yield pa.RecordBatch.from_pydict({
-                    "a": np.minimum(ids[0][i], ids[1][k]), "b": np.maximum(ids[0][i], ids[1][k]),
-                })
+            sides = [batch.column(c).to_pylist() for c in ("sa", "sb")]
+            odd = np.bitwise_count(_bits(sides[0]) ^ _bits(sides[1])).sum(axis=1, dtype=np.int64)
+            sizes = [batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb", "ha", "hb")]
+            yield batch.select(["a", "b"]).filter(pa.array(odd <= scheme.most_odd(*sizes)))
 
     return run
 
 
-def _odd(a: str, b: str) -> Column:
-    """Differing bits of two sketches held as arrays of longs."""
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
+def _blocks_near(scheme: Scheme):
+    """Pairs of two packed blocks with different labels whose sketches do not rule out a link.
+
+    A pair is given in the first of the bands that its two classes share, and only there.
+    """
+
+    def side(pack: list[dict]) -> dict[str, np.ndarray]:
+        out = {k: np.array([m[k] for m in pack], np.int64) for k in ("rid", "label", "size", "held", "bands")}
+        return out | {"bits": _bits([m["sketch"] for m in pack])}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, one, two in zip(*(batch.column(c) for c in ("key", "one", "two"))):
+                x, y = side(one.as_py()), side(two.as_py())
+                odd = np.zeros((len(x["rid"]), len(y["rid"])), np.int32)
+                for j in range(x["bits"].shape[1]):
+                    odd += np.bitwise_count(x["bits"][:, j, None] ^ y["bits"][None, :, j])
+                most = scheme.most_odd(x["size"][:, None], y["size"][None, :], x["held"][:, None], y["held"][None, :])
+                i, k = np.nonzero((odd <= most) & (x["label"][:, None] != y["label"][None, :]))
+                shared = x["bands"][i] == y["bands"][k]
+                first = x["bands"][i, shared.argmax(axis=1)] == key.as_py() if len(i) else np.zeros(0, bool)
+                a, b = x["rid"][i][first], y["rid"][k][first]
+                yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-def _words64(sketch: str) -> Column:
-    """The sketch bytes as longs, for native population counts."""
-    digits = F.hex(sketch)
-    return F.array(*[
-        F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(SKETCH_BITS // 32)
-    ])
+    return run
 
 
 def similar_classes(docs: DataFrame, text: Column, shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -185,11 +217,10 @@ def similar_classes(docs: DataFrame, text: Column, shingle: int = 5, percent: in
     signed = keep(texts.mapInArrow(_signatures(shingle, scheme), _SIGNED), "signed")
     classes = keep(
         signed.filter("n_shingles > 0").groupBy("class_a", "class_b")
-        .agg(F.min(F.struct("_rid", "bands", "sketch")).alias("m"))
-        .select("class_a", "class_b", F.col("m._rid").alias("rid"), "m.bands", "m.sketch"),
+        .agg(F.min(F.struct("_rid", "n_shingles", "held", "sketch", "bands")).alias("m"))
+        .select(F.col("m._rid").alias("rid"), F.col("m.n_shingles").alias("size"), "m.held", "m.sketch", "m.bands"),
         "classes",
     )
-    sketches = classes.select("rid", "sketch")
     keys = classes.select("rid", F.explode("bands").alias("key"))
     # The drawn member of a bucket: the least hash of bucket and class.
     drawn = (
@@ -201,22 +232,23 @@ def similar_classes(docs: DataFrame, text: Column, shingle: int = 5, percent: in
     stars = (
         buckets.filter("rid <> hub").select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
     )
-    packed = sketches.select("rid", _words64("sketch").alias("s"))
+    def sided(side: str) -> DataFrame:
+        return classes.select(F.col("rid").alias(side), F.col("sketch").alias(f"s{side}"), F.col("size").alias(f"n{side}"), F.col("held").alias(f"h{side}"))
+
     near = (
-        stars.join(packed.withColumnsRenamed({"rid": "a", "s": "sa"}), "a")
-        .join(packed.withColumnsRenamed({"rid": "b", "s": "sb"}), "b")
-        .filter(_odd("sa", "sb") <= scheme.cut).select("a", "b")
+        stars.join(sided("a"), "a").join(sided("b"), "b").select("a", "b", "sa", "sb", "na", "nb", "ha", "hb")
+        .mapInArrow(_pairs_near(scheme), "a long, b long")
     )
     first = keep(_confirm(near, texts, shingle, percent), "linked")
     labels = keep(components(first), "labels")
-    second = keep(_confirm(_across(buckets, labels, sketches, scheme), texts, shingle, percent), "linked")
+    second = keep(_confirm(_across(buckets, labels, classes, scheme), texts, shingle, percent), "linked")
     if second.take(1):
         tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         labels = components(tree.unionByName(second))
-    return signed.drop("bands", "sketch"), keep(labels.withColumnRenamed("node", "class_rid"), "labels")
+    return signed.drop("bands", "sketch", "held"), keep(labels.withColumnRenamed("node", "class_rid"), "labels")
 
 
-def _across(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, scheme: Scheme) -> DataFrame:
+def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
     """Pairs ``(a, b)`` of one bucket and different components whose sketches are near."""
     known = labels.select(F.col("node").alias("rid"), "label")
     placed = (
@@ -226,23 +258,22 @@ def _across(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, scheme:
         placed.groupBy("key").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.max("size").alias("size"),
             F.max(F.when(F.col("rid") == F.col("hub"), F.col("label"))).alias("main"),
-            F.count("*").alias("all"),
         ).filter("low < high").select("key", "main", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     )
-    members = placed.select("key", "rid", "label").join(mixed, "key").join(sketches, "rid")
+    members = placed.select("key", "rid", "label").join(mixed, "key").join(classes, "rid")
     packs = keep(
         members.groupBy(
             "key", "blocks", (F.col("label") != F.col("main")).alias("apart"),
             F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int").alias("block"),
-        ).agg(F.collect_list(F.struct("rid", "label", "sketch")).alias("pack")),
+        ).agg(F.collect_list(F.struct("rid", "label", "size", "held", "bands", "sketch")).alias("pack")),
         "packs",
     )
     one = packs.filter("apart").select(
         "key", F.col("pack").alias("one"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     )
     two = packs.select("key", "block", F.col("pack").alias("two"))
-    pairs = one.join(two, ["key", "block"]).select("one", "two")
-    return pairs.mapInArrow(_sketches_near(scheme.cut), "a long, b long").distinct()
+    pairs = one.join(two, ["key", "block"]).select("key", "one", "two")
+    return pairs.mapInArrow(_blocks_near(scheme), "a long, b long").distinct()
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
