@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegauge.llm import neardup
+from tidegauge.llm import (
+    chat, decontaminate, disclosure, langid, mixing, neardup, patterns, secrets, sharding, topk, warc,
+)
 from tidegauge.plans.registry import table
 
 QUERIES: dict = {}
@@ -49,3 +51,142 @@ def op6_minhash_neardup(spark, sf_dir):
     return neardup.near_duplicates(docs, shingle=3, percent=85).select(
         F.col("doc.doc_id").alias("doc_id"), "n_shingles", "component_id", "kept"
     )
+
+
+DECONTAMINATION_SQL = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bg AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2),
+        lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS g FROM bw WHERE len(w) > 0),
+ds AS (SELECT doc_id, m, w, unnest(range(1, len(w) - m + 2)) AS i
+       FROM dw, (SELECT DISTINCT m FROM bg) WHERE len(w) >= m),
+h AS (SELECT ds.doc_id, ds.i, ds.m, bg.item_id FROM ds JOIN bg ON bg.m = ds.m AND bg.g = array_to_string(ds.w[ds.i:ds.i + ds.m - 1], ' ')),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM h) GROUP BY 1),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM h) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op10_winnowing_decontamination", DECONTAMINATION_SQL)
+def op10_winnowing_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), carry=["doc_id"]
+    )
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    """Predictions for all documents from a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = langid.remainder("doc_id")
+    model = langid.train(docs.filter(part != 2), F.col("text"), F.col("lang"))
+    return langid.identify(docs, model, carry=["doc_id"]).select(
+        F.col("doc.doc_id").alias("doc_id"),
+        F.coalesce(langid.remainder("doc.doc_id") == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score",
+    )
+
+
+@query("op7_feistel_sharding")
+def op7_feistel_sharding(spark, sf_dir):
+    """Law ``rows``: shuffled row numbers dealt over 16 shards."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return sharding.sharded(docs, ["doc_id", "size", "text_crc32"], shards=16, key=20240229).select(
+        "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op4_pfair_mixing")
+def op4_pfair_mixing(spark, sf_dir):
+    """All documents in a mixture of their sources, one row per placed document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs).select(
+        "doc.doc_id", "source", "epoch", "block", "release", "deadline", "slot", "position"
+    )
+
+
+def _of_kind(kind: str):
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs, carry=["doc_id"]).select(
+        "doc.doc_id", *[_of_kind(k) for k in secrets.BASE],
+        F.sha2(patterns.written(F.col("base"), "start", "rank"), 256).alias("base_sha256"),
+        patterns.written(F.concat("base", "added"), "start", "rank").alias("spans"),
+    )
+
+
+@query("op8_disclosure_sanitisation")
+def op8_disclosure_sanitisation(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return disclosure.find_personal(docs, carry=["doc_id"]).select(
+        "doc.doc_id", *[_of_kind(k) for k in disclosure.BASE],
+        F.sha2(patterns.written(F.col("base"), "rank", "start"), 256).alias("base_sha256"),
+        patterns.written(F.concat("base", "added"), "rank", "start").alias("spans"),
+    )
+
+
+TOP_K_SQL = """
+WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+    SELECT a.vec_id AS query_id, b.vec_id, s.score,
+           row_number() OVER (PARTITION BY a.vec_id ORDER BY s.score DESC, b.vec_id) AS rank
+    FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id,
+         LATERAL (SELECT list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score) s)
+WHERE rank <= 5
+"""
+
+
+@query("op9_block_top_k", TOP_K_SQL)
+def op9_block_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op5_zstd_warc")
+def op5_zstd_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Conversations of up to one page; longer ones have further rows in the query.
+CHAT_SQL = """
+WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER w - 1 AS pos,
+                  string_agg(coalesce(length(role) || ':' || role, '-') || coalesce(length(text) || ':' || text, '-'), '')
+                      OVER (w ROWS UNBOUNDED PRECEDING) AS pre,
+                  count(*) OVER (PARTITION BY conv_id) AS n_turns
+           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+f AS (SELECT pre, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM t WHERE pos = n_turns - 1 GROUP BY ALL),
+k AS (SELECT * FROM f WHERE pre NOT IN (SELECT pre FROM t WHERE pos < n_turns - 1))
+SELECT k.conv_id, t.pos // 256 AS page, k.n_turns, k.copies,
+       string_agg('<|im_start|>' || replace(replace(coalesce(t.role, 'unknown'), '<|', '< |'), '|>', '| >') || chr(10)
+           || replace(replace(coalesce(t.text, ''), '<|', '< |'), '|>', '| >') || '<|im_end|>' || chr(10), '' ORDER BY t.pos) AS rendered
+FROM k JOIN t ON t.conv_id = k.conv_id GROUP BY ALL
+"""
+
+
+@query("op2_snapshot_collapse", CHAT_SQL)
+def op2_snapshot_collapse(spark, sf_dir):
+    return chat.collapsed(table(spark, sf_dir, "conversations"))
