@@ -79,10 +79,10 @@ def test_malformed_lines_need_three_fields(spark):
 
 
 def test_report_sql_equals_dsl(spark, sf_dir):
-    from tidegauge.plans.relational import trips
+    from tidegauge.plans.relational import rides
 
-    rows = trips(spark, sf_dir)
-    assert reports.trip_report(rows).exceptAll(reports.trip_report_sql(rows, "twin")).isEmpty()
+    rows = rides(spark, sf_dir)
+    assert reports.RIDES.frame(rows).exceptAll(reports.RIDES.from_text(rows, "twin")).isEmpty()
     totals = reports.group_totals(rows, "vendor_id", "passenger_count", "total")
     assert totals.collect() == reports.group_totals_sql(rows, "vendor_id", "passenger_count", "total", "twin").collect()
 

@@ -111,3 +111,32 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         session.shared_folder(Stub)
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_nulls_in_keys_and_order(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {(r.k, r["quantile"]) for r in ordered.exact_quantiles(df, "v", [0.5], ["k"]).collect()}
+    assert got == {(None, 2.0), ("a", 5.0)}
+    times = spark.createDataFrame([(i, None if i < 3 else i) for i in range(20)], "i int, t int")
+    split = {r.i: r.split for r in ordered.chronological_split(times, "t").collect()}
+    ranks = {r.i: r["rank"] for r in ordered.percent_ranks(times, "t").collect()}
+    assert ranks[0] == ranks[2] == 0.0 and ranks[3] == 3 / 19
+    assert split == {i: "train" if r <= 0.7 else "validation" if r <= 0.9 else "test" for i, r in ranks.items()}
+
+
+@pytest.mark.parametrize("hot", ["left", "right", "both"])
+def test_hot_keys_are_split(spark, hot):
+    """One key holds 90 % of a side, also as equal rows; nulls match nulls."""
+    def side(heavy, name):
+        keys = ["h"] * (90 if heavy else 2) + ["a", "b", None] + [name]
+        return spark.createDataFrame([(k, 1) for k in keys], f"k string, {name} int")
+
+    left, right = side(hot != "right", "x"), side(hot != "left", "y")
+    for how in ("inner", "left"):
+        got = joins.pair_join(left, right, ["k"], how, per_salt=10).groupBy("k").count().collect()
+        n, m = (90 if hot != "right" else 2), (90 if hot != "left" else 2)
+        want = {"h": n * m, "a": 1, "b": 1, None: 1} | ({"x": 1} if how == "left" else {})
+        assert {r.k: r["count"] for r in got} == want
+    salted = joins.salted_lookup_join(left, right.dropDuplicates(["k"]), ["k"], per_salt=10)
+    assert salted.count() == left.count()

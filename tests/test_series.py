@@ -143,6 +143,39 @@ def test_stl_by_chunk_equals_whole_series(spark, robust, monkeypatch):
         assert np.allclose(whole[part], pieces[part], atol=1e-9)
 
 
+@pytest.mark.parametrize("period", [7, 300])
+def test_stl_of_a_long_series_does_not_depend_on_pieces(spark, period, monkeypatch):
+    monkeypatch.setattr(stl, "OUTER_PASSES", 1)
+    rows = 6000 if period == 7 else 24_000
+    df = frame(spark, seasonal_walk(rows, period))
+    whole = stl.stl_decompose(df, "x", period, ["k"]).toPandas().sort_values("rn")
+    pieces = stl.stl_decompose(df, "x", period, ["k"], whole_rows=10, chunk=500).toPandas().sort_values("rn")
+    for part in ("trend", "seasonal", "resid", "weight"):
+        assert np.allclose(whole[part], pieces[part], atol=1e-9)
+
+
+def test_diagnostics_of_a_series_with_gaps(spark):
+    """Nulls, and positions that start late, give what the remaining values give."""
+    x = autoregressive(300, 0.8, 3)
+    clean = frame(spark, x)
+    late = clean.withColumn("rn", F.col("rn") + 6)
+    holes = late.unionByName(late.limit(6).withColumns({"rn": F.col("rn") - 6, "x": F.lit(None).cast("double")}))
+    for test in (stationarity.adf_test, stationarity.kpss_test, lambda d, c, keys: series.autocorrelation(d, c, 5, keys).orderBy("lag")):
+        want = test(clean, "x", keys=["k"]).toPandas()
+        for other in (late, holes):
+            got = test(other, "x", keys=["k"]).toPandas()
+            assert np.allclose(want.select_dtypes("number"), got.select_dtypes("number"))
+
+
+def test_window_search_drops_only_rows_with_nulls(spark):
+    x = list(autoregressive(200, 0.9, 8))
+    x[90] = None
+    df = frame(spark, x).drop("k")
+    counts = features.pair_counts(df, "x", [2], [10]).toPandas()
+    # windows of ten that hold the null, and the row before it, are left out
+    assert counts["n"].sum() == 200 - 10 - 10 - 1
+
+
 def test_window_search_does_not_depend_on_chunks(spark):
     df = frame(spark, autoregressive(900, 0.9, 8)).drop("k")
     one = features.pair_counts(df, "x", [1, 2, 3], range(2, 70)).toPandas()

@@ -15,6 +15,20 @@ def test_word_counts_over_several_batches(spark, tmp_path):
     assert {r["word"]: r["count"] for r in got.collect()} == {"a": 2, "b": 2, "c": 1, "": 1}
 
 
+def test_window_means_do_not_depend_on_file_order(spark, tmp_path):
+    """Nine files in nine batches, the latest events first: nothing is dropped."""
+    rows = [(f"2024-01-{d:02d} 0{h}:10:00", float(d * h)) for d in range(1, 10) for h in range(3)]
+    events = spark.createDataFrame(rows, "t string, value double").select(F.to_timestamp("t").alias("ts"), "value")
+    for day in range(9, 0, -1):
+        events.filter(F.dayofmonth("ts") == day).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)  # files are taken in the order of their times
+    stream = streams.file_stream(spark, str(tmp_path / "in"), events.schema, 1)
+    got = streams.drain(streams.windowed_means(stream, "ts", "value", "25 minutes"), "update", keys=["start"])
+    want = events.groupBy(F.window("ts", "25 minutes")).agg(F.avg("value").alias("value")).select("window.start", "value")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 27
+
+
 def test_console_query_stops_in_time(spark, tmp_path):
     spark.range(1).select(F.lit("x y").alias("value")).write.text(str(tmp_path / "in"))
     schema = spark.read.text(str(tmp_path / "in")).schema

@@ -73,13 +73,16 @@ def pair_counts(
 
     def count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(rn)
-        x = pdf["_x"].to_numpy()
+        x = pdf["_x"].to_numpy(dtype=float)
         place, own = pdf[rn].to_numpy(), pdf["_own"].to_numpy()
         low, high, mid = (pdf[c].iloc[0] for c in ("_low", "_high", "_mid"))
-        sums = np.concatenate([[0.0], np.cumsum(x - mid)])
-        squares = np.concatenate([[0.0], np.cumsum((x - mid) ** 2)])
+        here = ~np.isnan(x)
+        apart = np.where(here, x - mid, 0.0)
+        sums = np.concatenate([[0.0], np.cumsum(apart)])
+        squares = np.concatenate([[0.0], np.cumsum(apart**2)])
+        seen = np.concatenate([[0], np.cumsum(here)])
         # own rows that have a next value
-        at = np.flatnonzero(own[:-1]) if len(x) > 1 else np.zeros(0, dtype=int)
+        at = np.flatnonzero(own[:-1] & here[1:]) if len(x) > 1 else np.zeros(0, dtype=int)
         width = (high - low) / Y_BINS
         y_place = (x[at + 1] - low) / width if width > 0 else np.zeros(len(at))
         yb = np.clip(np.floor(y_place), 0, Y_BINS - 1).astype(int)
@@ -95,7 +98,8 @@ def pair_counts(
         for g in blocks[pdf["_block"].iloc[0]]:
             long_mean, begin = mean(g)
             variance = (squares[at + 1] - squares[begin] - g * long_mean**2) / (g - 1)
-            usable = (place[at] >= g - 1) & (variance > 1e-12 * max((high - low) ** 2, 1e-300))
+            # a null drops the rows whose long window holds it, and no others
+            usable = (place[at] >= g - 1) & (seen[at + 1] - seen[begin] == g) & (variance > 1e-12 * max((high - low) ** 2, 1e-300))
             long_part, deviation, y_part = long_mean[usable], np.sqrt(variance[usable]), yb[usable]
             for s in shorts:
                 if s >= g:

@@ -13,14 +13,13 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.joins import (
     ROWS_PER_SALT,
-    fits_broadcast,
     lookup_join,
+    pair_join,
     salted_lookup_join,
+    small,
 )
 from tidegauge.session import fresh_path, materialise, shuffle_tasks
 
-BUCKET_ROWS = 2_000_000  # links above which PageRank stores its tables bucketed
-
 
 def degrees(edges: DataFrame) -> DataFrame:
     """In plus out degree; vertices without edges are absent."""
@@ -51,7 +50,6 @@ def undirected(edges: DataFrame) -> DataFrame:
 def page_rank(
     vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iterations: int = 10,
     normalise: bool = True, cut_every: int = 2, per_salt: int = ROWS_PER_SALT,
-    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Fixed-iteration PageRank that starts at 1 per vertex: ``id, pagerank``.
 
@@ -73,44 +71,37 @@ def page_rank(
         .filter(F.col("_k") > per_salt)
         .select(F.col("src").alias("id"), F.ceil(F.col("_k") / per_salt).cast("int").alias("_salts"))
     )
-    hot = materialise(hot, "hot")  # at most links / per_salt rows
+    hot = small(materialise(hot, "hot"))
     salted = not hot.isEmpty()
     on = ["src", "_salt"] if salted else ["src"]
     links = weighted
     if salted:
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
-        links = weighted.join(F.broadcast(hot), F.col("src") == F.col("id"), "left").select(
+        links = weighted.join(hot, F.col("src") == F.col("id"), "left").select(
             "src", "dst", "weight", salt.alias("_salt")
         )
-    tables = []
-    ids = vertices.select("id").distinct()
-    large = not fits_broadcast(pairs, bucket_rows)
-    if large:
-        stored, links_name = _bucketed(links, on, "links")
-        ids, ids_name = _bucketed(ids, ["id"], "vertices")
-        tables = [links_name, ids_name]
-    else:
-        stored, ids = materialise(links, "links"), materialise(ids, "vertices")
+    stored, links_name = _bucketed(links, on, "links")
+    ids, ids_name = _bucketed(vertices.select("id").distinct(), ["id"], "vertices")
     ranks = ids.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iterations + 1):
         senders = ranks.withColumnRenamed("id", "src")
         if salted:
             copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-            senders = ranks.join(F.broadcast(hot), "id", "left").select(
+            senders = ranks.join(hot, "id", "left").select(
                 F.col("id").alias("src"), F.explode(copies).alias("_salt"), "pagerank"
             )
         received = (
-            stored.join(senders.hint("merge") if large else senders, on)
+            stored.join(senders.hint("merge"), on)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("weight") * F.col("pagerank")).alias("_in"))
         )
-        ranks = ids.join(received.hint("merge") if large else received, "id", "left").select(
+        ranks = ids.join(received.hint("merge"), "id", "left").select(
             "id",
             (F.lit(reset) + (1.0 - reset) * F.coalesce("_in", F.lit(0.0))).alias("pagerank"),
         )
         if step % cut_every == 0 or step == iterations:
             ranks = materialise(ranks, "ranks")
-    for name in tables:  # only the catalog entries; the ranks are written
+    for name in (links_name, ids_name):  # only the catalog entries; the ranks are written
         edges.sparkSession.sql(f"DROP TABLE {name}")
     if not normalise:
         return ranks
@@ -244,7 +235,7 @@ def two_hops(edges: DataFrame) -> DataFrame:
     single = edges.select("src", "dst").distinct()
     first = single.select(F.col("src").alias("a_id"), F.col("dst").alias("b_id"))
     second = single.select(F.col("src").alias("b_id"), F.col("dst").alias("c_id"))
-    return salted_lookup_join(first, second, ["b_id"], "inner").select("a_id", "b_id", "c_id")
+    return pair_join(first, second, ["b_id"]).select("a_id", "b_id", "c_id")
 
 
 def shortest_paths(
@@ -265,9 +256,7 @@ def shortest_paths(
         return here.select(F.array("id").alias("path"))
     seen, levels = front, []
     for _ in range(max_length):
-        sources = front.select(F.col("id").alias("src"))
-        if fits_broadcast(sources):
-            sources = F.broadcast(sources)
+        sources = small(front.select(F.col("id").alias("src")))
         fresh = links.join(sources, "src", "left_semi").join(
             seen.select(F.col("id").alias("dst")), "dst", "left_anti"
         )

@@ -15,8 +15,8 @@ ROWS_PER_SALT = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting just above it."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows: partial counts, no rows moved."""
+    return df.count() <= rows
 
 
 def stored_bytes(df: DataFrame) -> int:
@@ -66,7 +66,7 @@ def _attach(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str) -> D
 def hot_keys(df: DataFrame, on: Sequence[str], per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Keys with more than ``per_salt`` rows and the number of salts each needs.
 
-    There are at most ``rows / per_salt`` of them, whatever the data looks like.
+    There are at most ``rows / per_salt`` of them.
     """
     return (
         df.groupBy(*on)
@@ -76,6 +76,11 @@ def hot_keys(df: DataFrame, on: Sequence[str], per_salt: int = ROWS_PER_SALT) ->
     )
 
 
+def small(df: DataFrame) -> DataFrame:
+    """``df``, a written table, to be broadcast if it is within both bounds."""
+    return F.broadcast(df) if stored_bytes(df) <= BROADCAST_BYTES and fits_broadcast(df) else df
+
+
 def salted_lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -83,22 +88,56 @@ def salted_lookup_join(
     how: str = "left",
     per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
-    """Shuffled lookup join in which each hot key of ``big`` is split over salts."""
-    hot = hot_keys(big, on, per_salt)
+    """Shuffled lookup join in which each hot key of ``big`` is split over salts.
+
+    ``big`` is written once with a number per row; the salt is taken from that number, so
+    that equal rows are split as well as different ones.
+    """
+    stored = materialise(big.withColumn("_row", F.monotonically_increasing_id()), "big")
+    hot = small(materialise(hot_keys(stored, on, per_salt), "hot"))
     spread = (
-        _attach(big, F.broadcast(hot), on, "left")
-        .withColumn(
-            "_salt",
-            F.when(
-                F.col("_salts").isNotNull(),
-                F.pmod(F.xxhash64(*big.columns), F.col("_salts")).cast("int"),
-            ).otherwise(F.lit(0)),
-        )
-        .drop("_salts")
+        _attach(stored, hot, on, "left")
+        .withColumn("_salt", F.pmod("_row", F.coalesce("_salts", F.lit(1))).cast("int"))
+        .drop("_salts", "_row")
     )
     copies = (
-        _attach(lookup, F.broadcast(hot), on, "left")
+        _attach(lookup, hot, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
     return _attach(spread, copies, [*on, "_salt"], how).drop("_salt")
+
+
+def pair_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """All pairs per key (``inner`` or ``left``), with hot keys of either side split.
+
+    A key with ``a`` times too many rows on the left and ``b`` times on the right is dealt
+    over a grid of ``a * b`` tasks.  For a left join, the left rows without a partner are
+    added by an anti-join with the distinct keys of the right.
+    """
+    numbered = [materialise(d.withColumn("_row", F.monotonically_increasing_id()), "side") for d in (left, right)]
+    counts = [d.groupBy(*on).agg(F.count("*").alias(n)) for d, n in zip(numbered, ("_nl", "_nr"))]
+    hot = _attach(counts[0], counts[1], on, "inner").filter((F.col("_nl") > per_salt) | (F.col("_nr") > per_salt))
+    hot = small(materialise(
+        hot.select(*on, *[F.ceil(F.col(n) / per_salt).cast("int").alias(s) for n, s in (("_nl", "_sl"), ("_nr", "_sr"))]),
+        "hot",
+    ))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        salts = _attach(side, hot, on, "left")
+        return (
+            salts.withColumn(f"_at{own}", F.pmod("_row", F.coalesce(own, F.lit(1))).cast("int"))
+            .withColumn(f"_at{other}", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+            .drop("_row", "_sl", "_sr")
+        )
+
+    cell = ["_at_sl", "_at_sr"]
+    pairs = _attach(dealt(numbered[0], "_sl", "_sr"), dealt(numbered[1], "_sr", "_sl"), [*on, *cell], "inner").drop(*cell)
+    if how == "inner":
+        return pairs
+    found = numbered[1].select(*on).distinct().withColumn("_found", F.lit(True))
+    alone = salted_lookup_join(numbered[0].drop("_row"), found, on, per_salt=per_salt).filter("_found is null").drop("_found")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in on]
+    return pairs.unionByName(alone.select("*", *missing))

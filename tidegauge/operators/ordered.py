@@ -156,6 +156,15 @@ def running_sums(
     )
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys match."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & left[key].eqNullSafe(renamed[f"_same_{key}"])
+    return left.join(renamed, same).drop(*[f"_same_{k}" for k in keys])
+
+
 def order_statistics(
     df: DataFrame, value: str, positions: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -187,8 +196,7 @@ def order_statistics(
         located = F.broadcast(located)
     cut = Window.partitionBy(*keys, "pos").orderBy(value)
     return (
-        table.drop("_at")
-        .join(located, [*keys, "_p"])
+        _same_keys(table.drop("_at"), located, [*keys, "_p"])
         .withColumn("_last", F.col("_before") + F.sum("_n").over(cut))
         .filter((F.col("_last") > F.col("pos")) & (F.col("_last") - F.col("_n") <= F.col("pos")))
         .select(*keys, "pos", value)
@@ -214,8 +222,7 @@ def exact_quantiles(
     low = found.select(*keys, F.col("pos").alias("_lo"), F.col(value).alias("_vlo"))
     high = found.select(*keys, F.col("pos").alias("_hi"), F.col(value).alias("_vhi"))
     return (
-        targets.join(low, [*keys, "_lo"])
-        .join(high, [*keys, "_hi"])
+        _same_keys(_same_keys(targets, low, [*keys, "_lo"]), high, [*keys, "_hi"])
         .select(
             *keys,
             "prob",
@@ -225,8 +232,13 @@ def exact_quantiles(
 
 
 def values_at_rank_shares(df: DataFrame, order: str, shares: Sequence[float]) -> list:
-    """Per share, the largest ``order`` value whose percent rank is at most the share."""
-    rows = df.count()
+    """Per share, the largest ``order`` value whose percent rank is at most the share.
+
+    Nulls rank first, as in a window; the value is null where only they qualify, and
+    also for a table without rows.
+    """
+    rows, filled = df.agg(F.count("*"), F.count(order)).first()
+    nulls = rows - filled
     places = []
     for share in shares:
         place = int(share * (rows - 1)) if rows > 1 else 0
@@ -234,10 +246,10 @@ def values_at_rank_shares(df: DataFrame, order: str, shares: Sequence[float]) ->
             place += 1
         while place > 0 and place / (rows - 1) > share:
             place -= 1
-        places.append(place)
-    wanted = df.sparkSession.createDataFrame([(p,) for p in places], "pos long")
+        places.append(place - nulls)
+    wanted = df.sparkSession.createDataFrame([(p,) for p in places if p >= 0], "pos long")
     found = {r["pos"]: r[order] for r in order_statistics(df.select(order), order, wanted).collect()}
-    return [found[p] for p in places]
+    return [found.get(p) for p in places]
 
 
 def chronological_split(
@@ -247,19 +259,21 @@ def chronological_split(
 
     Percent rank grows with ``order``, so the two cut values found by
     :func:`values_at_rank_shares` decide every row: the data itself is not shuffled
-    and rows with equal order values always share a label.
+    and rows with equal order values always share a label.  Nulls rank first, so they
+    are training rows.
     """
     first, second = values_at_rank_shares(df, order, shares)
+
+    def upto(value):
+        return F.col(order).isNull() if value is None else F.col(order).isNull() | (F.col(order) <= F.lit(value))
+
     return df.withColumn(
-        into,
-        F.when(F.col(order) <= F.lit(first), "train")
-        .when(F.col(order) <= F.lit(second), "validation")
-        .otherwise("test"),
+        into, F.when(upto(first), "train").when(upto(second), "validation").otherwise("test")
     )
 
 
 def percent_ranks(df: DataFrame, order: str, into: str = "rank") -> DataFrame:
-    """Percent rank over ``order`` as a column, without a single-task window."""
+    """Percent rank over ``order`` as a column, without a single-task window; nulls rank first."""
     rows = df.count()
     per_value = index_rows(df.groupBy(order).agg(F.count("*").alias("_n")), [order])
     ranked = running_sums(per_value, {"_upto": "_n"}).select(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.scalar import skewness_adjusted
-from tidegauge.operators.joins import lookup_join
+from tidegauge.operators.joins import fits_broadcast, lookup_join, pair_join, stored_bytes
 from tidegauge.operators.ordered import exact_quantiles, index_rows
+from tidegauge.session import BROADCAST_BYTES
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -142,7 +143,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def density_curve(df: DataFrame, column: str, points: int = 200, bins: int = 1024) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum.
 
-    Scott's bandwidth.  The rows are first counted into ``bins`` narrow bins, so the
+    Scott's bandwidth; a constant column has none and null densities.  The rows are first counted into ``bins`` narrow bins, so the
     kernel work depends on bins and points only, not on the number of rows.
     """
     x = F.col(column).cast("double")
@@ -160,12 +161,11 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int = 102
     cells = histogram(df, column, bins).filter("rows > 0").select(
         (F.col("left_edge") + (high - low) / (2 * bins)).alias("centre"), "rows", grid.alias("point")
     )
-    z = (low + F.col("point") * step - F.col("centre")) / h
+    z = F.try_divide(low + F.col("point") * step - F.col("centre"), h)
     return cells.groupBy("point").agg(
         F.max(low + F.col("point") * step).alias("x"),
-        (
-            F.sum(F.col("rows") * F.exp(-0.5 * z * z))
-            / F.max(facts.getField("n") * h * 2.5066282746310002)
+        F.try_divide(
+            F.sum(F.col("rows") * F.exp(-0.5 * z * z)), F.max(facts.getField("n") * h * 2.5066282746310002)
         ).alias("density"),
     )
 
@@ -242,11 +242,14 @@ def cogroup_lists(
 
 
 def key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """All pairs per key (inner or left).
+    """All pairs per key (inner or left); null keys match each other.
 
-    A small right side is broadcast; otherwise keys with very many left rows are salted.
+    A small right side is broadcast; otherwise keys with very many rows on either side
+    are dealt over a grid of salts.
     """
-    return lookup_join(left, right, on, how, derived=False)
+    if stored_bytes(right) <= BROADCAST_BYTES and fits_broadcast(right):
+        return lookup_join(left, right, on, how, derived=False)
+    return pair_join(left, right, on, how)
 
 
 def bag_union(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -277,3 +280,10 @@ def pivot_months(df: DataFrame, ts: str, value: str) -> DataFrame:
         .pivot("month_name", months)
         .agg(F.avg(value))
     )
+
+
+def estimate_spread(df: DataFrame, key: str, estimate: str, truth: str) -> DataFrame:
+    """Per key, the sample variance of the estimates and their mean absolute error."""
+    return df.groupBy(key).agg(
+        F.var_samp(estimate).alias("estimate_variance"), F.avg(F.abs(F.col(estimate) - F.col(truth))).alias("mean_error")
+    )

@@ -12,6 +12,7 @@ from tidegauge.functions.scalar import clip, epoch_seconds
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import index_rows, sliding
 from tidegauge.operators.relational import numeric_columns
+from tidegauge.session import materialise
 
 
 def downsample(
@@ -56,7 +57,11 @@ def calendar_series(df: DataFrame, day: str, value: str, keys: Sequence[str] = (
     daily = df.groupBy(*keys, day).agg(F.sum(value).alias("x"))
     spans = daily.groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
     days = spans.select(*keys, "_first", F.explode(F.sequence("_first", "_last")).alias(day))
-    return days.join(daily, [*keys, day], "left").select(
+    found = daily.withColumnsRenamed({c: f"_d_{c}" for c in (*keys, day)})
+    same = days[day] == found[f"_d_{day}"]
+    for key in keys:
+        same = same & days[key].eqNullSafe(found[f"_d_{key}"])
+    return days.join(found, same, "left").select(
         *keys, day, F.datediff(day, "_first").cast("long").alias("rn"),
         F.coalesce("x", F.lit(0)).cast("double").alias("x"),
     )
@@ -217,12 +222,22 @@ def seasonal_profile(df: DataFrame, ts: str, value: str) -> DataFrame:
 def centred_series(
     df: DataFrame, column: str, keys: Sequence[str] = (), rn: str = "rn"
 ) -> DataFrame:
-    """``keys, rn, _e, _n``: the series minus its mean, with its length; nulls removed."""
+    """``keys, rn, _e, _n``: the series minus its mean, with its length; nulls removed.
+
+    Rows that remain are numbered anew from 0 if nulls, or a later start, left gaps.
+    """
     present = df.filter(F.col(column).isNotNull()).select(
         *keys, rn, F.col(column).cast("double").alias("_x")
     )
-    means = present.groupBy(*keys).agg(F.avg("_x").alias("_m"), F.count("*").alias("_n"))
-    return lookup_join(present, means, list(keys)).select(
+    means = materialise(
+        present.groupBy(*keys).agg(
+            F.avg("_x").alias("_m"), F.count("*").alias("_n"), F.min(rn).alias("_low"), F.max(rn).alias("_high")
+        ),
+        "means",
+    )
+    if means.filter((F.col("_low") != 0) | (F.col("_high") != F.col("_n") - 1)).take(1):
+        present = index_rows(present.withColumnRenamed(rn, "_old"), ["_old"], keys, into=rn)
+    return lookup_join(present, means.drop("_low", "_high"), list(keys), derived=False).select(
         *keys, rn, (F.col("_x") - F.col("_m")).alias("_e"), "_n"
     )
 

@@ -24,10 +24,23 @@ def _odd_at_least(x: float) -> int:
     return n + 1 - n % 2
 
 
+# Cells (targets times span) that a smoother holds at once.
+LOESS_CELLS = 1 << 21
+# Weighted spread of the points, in rows, from which a slope is fitted.
+LEAST_SPREAD = 1e-3
+
+
 def _loess(y: np.ndarray, span: int, targets: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Local linear fits at ``targets`` from the ``span`` nearest evenly spaced points."""
+    """Local linear fits at ``targets`` from the ``span`` nearest evenly spaced points.
+
+    A fit depends on the points around its target only, not on the length of ``y``, so
+    that a piece of a series gives what the whole series gives.
+    """
     n = len(y)
     q = min(span, n)
+    step = max(1, LOESS_CELLS // q)
+    if len(targets) > step:
+        return np.concatenate([_loess(y, span, targets[i : i + step], weights) for i in range(0, len(targets), step)])
     left = np.clip(targets - (q - 1) // 2, 0, n - q)
     index = left[:, None] + np.arange(q)
     distance = np.abs(index - targets[:, None])
@@ -41,7 +54,7 @@ def _loess(y: np.ndarray, span: int, targets: np.ndarray, weights: np.ndarray) -
     w = np.divide(w, total, out=np.zeros_like(w), where=total > 0)
     centre = (w * index).sum(axis=1, keepdims=True)
     spread = (w * (index - centre) ** 2).sum(axis=1, keepdims=True)
-    wide = np.sqrt(spread) > 0.001 * (n - 1)
+    wide = np.sqrt(spread) > LEAST_SPREAD
     slope = np.divide(targets[:, None] - centre, spread, out=np.zeros_like(spread), where=wide)
     fitted = (w * (1.0 + slope * (index - centre)) * y[index]).sum(axis=1)
     near = np.clip(targets, 0, n - 1)
@@ -89,7 +102,7 @@ def stl_decompose(
 
     ``rn`` runs from 0 without gaps.  Series of up to ``whole_rows`` rows are each
     decomposed within one task; longer ones go through :func:`_stl_by_chunk`, so the
-    length of a series is not limited by one worker.
+    length of a series is not limited by one worker.  Both ways give the same numbers.
     """
     cast = df.withColumn(column, F.col(column).cast("double"))
     lengths = cast.groupBy(*keys).agg(F.count("*").alias("_n"))

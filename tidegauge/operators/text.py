@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.scalar import space_fields, words
+from tidegauge.operators.joins import stored_bytes
+from tidegauge.session import BROADCAST_BYTES
 
 PAD, START = 0, 1
 
@@ -49,13 +51,15 @@ def malformed_lines(df: DataFrame, column: str, fields_needed: int = 3) -> DataF
 def without_stop_words(df: DataFrame, word: str, stop: DataFrame, on: Sequence[str] = ()) -> DataFrame:
     """Rows whose lower-cased word is not in ``stop`` (``word`` and any ``on`` columns).
 
-    Stop lists are short fixed lists, so the list is broadcast.
+    A list within the bound of a broadcast is broadcast; a longer one is shuffled.
     """
     listed = stop.select(*on, F.col("word").alias("_stop"))
     condition = F.lower(F.col(word)) == F.col("_stop")
     for c in on:
         condition = condition & (df[c] == listed[c])
-    return df.join(F.broadcast(listed), condition, "left_anti")
+    if stored_bytes(listed) <= BROADCAST_BYTES:
+        listed = F.broadcast(listed)
+    return df.join(listed, condition, "left_anti")
 
 
 # ---------------------------------------------------------------- characters

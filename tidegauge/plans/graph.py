@@ -2,35 +2,27 @@
 
 ``parts``: part to the part on the next line of the same order.  ``geography``:
 customers and suppliers to nations, nations to regions (a forest).  ``trade``: from
-customer nation to supplier nation where the flow is above the average flow.
+customer nation to supplier nation, for every pair that trades.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.operators import graph
 from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
-from tidegauge.session import materialise
 
 Graph = tuple[DataFrame, DataFrame]
 
 
 def parts_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    nexts = lines.select(
-        "l_orderkey",
-        (F.col("l_linenumber") - 1).alias("l_linenumber"),
-        F.col("l_partkey").alias("dst"),
-    )
-    edges = (
-        lines.withColumnRenamed("l_partkey", "src")
-        .join(nexts, ["l_orderkey", "l_linenumber"])
-        .select("src", "dst")
-        .distinct()
-    )
+    # One shuffle by order, whose lines are few; several lines may share a number.
+    following = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rangeBetween(1, 1)
+    nexts = F.collect_list("l_partkey").over(following)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), nexts.alias("nexts"))
+    edges = lines.select("src", F.explode("nexts").alias("dst")).distinct()
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), edges
 
 
@@ -59,32 +51,22 @@ def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
     def scan(name: str, **columns: str) -> DataFrame:
         return table(spark, sf_dir, name).select(*[F.col(c).alias(a) for a, c in columns.items()])
 
-    lines = scan("lineitem", order="l_orderkey", supplier="l_suppkey", price="l_extendedprice")
+    lines = scan("lineitem", order="l_orderkey", supplier="l_suppkey")
     suppliers = scan("supplier", supplier="s_suppkey", dst="s_nationkey")
     customers = scan("customer", customer="c_custkey", src="c_nationkey")
     orders = scan("orders", order="o_orderkey", customer="o_custkey")
     # nations come to the orders first, so that a dominant customer meets orders, not lines
     placed = lookup_join(orders, customers, ["customer"], "inner", derived=False)
     sent = lookup_join(lines, suppliers, ["supplier"], "inner", derived=False)
-    cents = F.round(F.col("price") * 100).cast("long")
-    flows = (
-        lookup_join(sent, placed.select("order", "src"), ["order"], "inner", derived=False)
-        .groupBy("src", "dst")
-        .agg(F.sum(cents).alias("flow"))
-    )
-    flows = materialise(flows, "flows")
-    mean = flows.agg(F.avg("flow")).scalar()
-    edges = flows.filter(F.col("flow") > mean).select("src", "dst")
+    edges = lookup_join(sent, placed.select("order", "src"), ["order"], "inner", derived=False).select("src", "dst").distinct()
     return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id")), edges
 
 
 _PARTS_SQL = """e AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a
     JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1)"""
-_TRADE_SQL = """f AS (SELECT c_nationkey AS src, s_nationkey AS dst,
-        sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS flow
+_TRADE_SQL = """e AS (SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-      JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
-    e AS (SELECT src, dst FROM f WHERE flow > (SELECT avg(flow) FROM f))"""
+      JOIN supplier ON l_suppkey = s_suppkey)"""
 
 
 @query(

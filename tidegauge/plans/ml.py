@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import scalar as S
 from tidegauge.operators import ml, ordered, relational, series
 from tidegauge.plans.registry import query, table
-from tidegauge.plans.relational import R_COLUMNS, SENSORS_SQL, sensors
+from tidegauge.plans.relational import LOWER, R_COLUMNS, SENSOR_COUNT, SENSORS_SQL, UPPER, sensors
 from tidegauge.session import materialise
 
 # ---------------------------------------------------------------- encoders and scalers
@@ -164,34 +164,34 @@ def long_sensors(spark, sf_dir):
         logged.withColumns(
             {
                 "Sensors_Mean": S.row_mean([F.col(c) for c in R_COLUMNS]),
-                "R1to7_Mean": S.row_mean([F.col(c) for c in R_COLUMNS[:7]]),
-                "R8to14_Mean": S.row_mean([F.col(c) for c in R_COLUMNS[7:]]),
+                "lower_mean": S.row_mean([F.col(c) for c in LOWER]),
+                "upper_mean": S.row_mean([F.col(c) for c in UPPER]),
             }
         ),
         ["vec_id"],
     )
-    scored = series.rolling_zscore(rows, "R1to7_Mean", 3, 12, "R1to7_Mean_short_zscore")
-    scored = series.rolling_zscore(scored, "R8to14_Mean", 3, 12, "R8to14_Mean_short_zscore")
+    scored = series.rolling_zscore(rows, "lower_mean", 3, 12, "lower_mean_short_zscore")
+    scored = series.rolling_zscore(scored, "upper_mean", 3, 12, "upper_mean_short_zscore")
     led = series.lead_targets(scored, R_COLUMNS)
-    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, 15)}
+    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, SENSOR_COUNT + 1)}
     melted = relational.melt_pairs(
         materialise(led.withColumnRenamed("label", "Label"), "features"),
-        ["vec_id", "Label", "R1to7_Mean", "R8to14_Mean", "R1to7_Mean_short_zscore", "R8to14_Mean_short_zscore"],
+        ["vec_id", "Label", "lower_mean", "upper_mean", "lower_mean_short_zscore", "upper_mean_short_zscore"],
         groups, "Sensor_ID", ["Target_R", "R"],
     )
-    indexed = ml.string_index(melted, "Sensor_ID", "Sensor_ID_Index")
+    indexed = ml.string_index(melted, "Sensor_ID", "sensor_code")
     return ordered.chronological_split(indexed, "vec_id")
 
 
 _FEATURES = [
-    "R", "Sensor_ID_Index", "Label", "R1to7_Mean", "R8to14_Mean",
-    "R1to7_Mean_short_zscore", "R8to14_Mean_short_zscore",
+    "R", "sensor_code", "Label", "lower_mean", "upper_mean",
+    "lower_mean_short_zscore", "upper_mean_short_zscore",
 ]
 
 
 @query(
     "error_metrics_per_group",
-    f"""WITH {SENSORS_SQL}, l AS (SELECT vec_id, unnest([{", ".join(f"'{i}'" for i in range(1, 15))}]) AS sid,
+    f"""WITH {SENSORS_SQL}, l AS (SELECT vec_id, unnest([{", ".join(f"'{i}'" for i in range(1, SENSOR_COUNT + 1))}]) AS sid,
           unnest([{", ".join(R_COLUMNS)}]) AS p,
           unnest([{", ".join(f"lead({c}) OVER (ORDER BY vec_id)" for c in R_COLUMNS)}]) AS y FROM sensors),
         e AS (SELECT sid, y, y - p AS e FROM l WHERE y IS NOT NULL)
@@ -204,7 +204,7 @@ def error_metrics_per_group(spark, sf_dir):
     """Errors of the forecast "next reading equals this one", computed in log scale and undone."""
     logged = sensors(spark, sf_dir).select("vec_id", *[F.log1p(c).alias(c) for c in R_COLUMNS])
     led = series.lead_targets(ordered.index_rows(logged, ["vec_id"]), R_COLUMNS)
-    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, 15)}
+    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, SENSOR_COUNT + 1)}
     melted = relational.melt_pairs(led, ["vec_id"], groups, "Sensor_ID", ["Target_R", "R"])
     return ml.sensor_errors(melted, "Sensor_ID", "Target_R", "R")
 
@@ -254,7 +254,7 @@ def labelled_documents(spark, sf_dir):
 
 
 def _stages():
-    return ml.mixed_feature_stages(_NUMERIC, _CATEGORICAL, ["n_chars"])
+    return ml.feature_stages(_NUMERIC, _CATEGORICAL, ["n_chars"])
 
 
 def _classified(spark, sf_dir, model):

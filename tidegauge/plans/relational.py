@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import scalar as S
 from tidegauge.operators import relational as R
 from tidegauge.operators import reports
+from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
 from tidegauge.session import fresh_path
 from tidegauge.sources import readers, sinks
@@ -156,90 +157,69 @@ def vendor_totals_sql(spark, sf_dir):
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders read as trips; some lack a start time or lie off the map."""
+def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as rides; some lack a start time or lie off the map."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    seconds = (k * 37 % 86_400).cast("int")
-    start = F.col("o_orderdate") + F.make_dt_interval(secs=seconds)
-    duration = (c % 3_000 + 60).cast("int")
+    start = F.col("o_orderdate") + F.make_dt_interval(secs=(k * 37 % 86_400).cast("int"))
+    seconds = (c % 3_000 + 60).cast("int")
     return table(spark, sf_dir, "orders").select(
-        k.alias("id"),
-        (c % 2 + 1).cast("int").alias("vendor_id"),
-        (k % 6 + 1).cast("int").alias("passenger_count"),
-        F.when(k % 97 != 0, start).alias("pickup_datetime"),
-        (start + F.make_dt_interval(secs=duration)).alias("dropoff_datetime"),
-        F.when(k % 89 == 0, 200.0).otherwise((c % 3_500) / 10.0 - 175.0).alias("pickup_longitude"),
-        ((k % 1_400) / 10.0 - 70.0).alias("pickup_latitude"),
-        ((c % 3_500) / 10.0 - 175.0 + (k % 7 - 3) * 0.03).alias("dropoff_longitude"),
-        ((k % 1_400) / 10.0 - 70.0 + (c % 5 - 2) * 0.04).alias("dropoff_latitude"),
-        duration.alias("trip_duration"),
-    )
-
-
-_TRIPS_SQL = """trips AS (
-    SELECT o_orderkey AS id, CAST(o_custkey % 2 + 1 AS INTEGER) AS vendor_id,
-           CAST(o_orderkey % 6 + 1 AS INTEGER) AS passenger_count,
-           CASE WHEN o_orderkey % 97 <> 0
-                THEN o_orderdate + to_seconds(o_orderkey * 37 % 86400) END AS pickup_datetime,
-           o_orderdate + to_seconds(o_orderkey * 37 % 86400) + to_seconds(o_custkey % 3000 + 60) AS dropoff_datetime,
+        k.alias("ride"),
+        (c % 2 + 1).cast("int").alias("company"),
+        (k % 6 + 1).cast("int").alias("riders"),
+        F.when(k % 97 != 0, start).alias("started"),
+        (start + F.make_dt_interval(secs=seconds)).alias("ended"),
+        F.when(k % 89 == 0, 200.0).otherwise((c % 3_500) / 10.0 - 175.0).alias("lon_a"),
+        ((k % 1_400) / 10.0 - 70.0).alias("lat_a"),
+        ((c % 3_500) / 10.0 - 175.0 + (k % 7 - 3) * 0.03).alias("lon_b"),
+        ((k % 1_400) / 10.0 - 70.0 + (c % 5 - 2) * 0.04).alias("lat_b"),
+        seconds.alias("seconds"),
+    )
+
+
+_RIDES_SQL = """rides AS (
+    SELECT o_orderkey AS ride, CAST(o_custkey % 2 + 1 AS INTEGER) AS company, CAST(o_orderkey % 6 + 1 AS INTEGER) AS riders,
+           CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate + to_seconds(o_orderkey * 37 % 86400) END AS started,
+           o_orderdate + to_seconds(o_orderkey * 37 % 86400) + to_seconds(o_custkey % 3000 + 60) AS ended,
            CASE WHEN o_orderkey % 89 = 0 THEN 200.0::DOUBLE
-                ELSE (o_custkey % 3500) / 10.0::DOUBLE - 175.0::DOUBLE END AS pickup_longitude,
-           (o_orderkey % 1400) / 10.0::DOUBLE - 70.0::DOUBLE AS pickup_latitude,
-           (o_custkey % 3500) / 10.0::DOUBLE - 175.0::DOUBLE + (o_orderkey % 7 - 3) * 0.03::DOUBLE AS dropoff_longitude,
-           (o_orderkey % 1400) / 10.0::DOUBLE - 70.0::DOUBLE + (o_custkey % 5 - 2) * 0.04::DOUBLE AS dropoff_latitude,
-           CAST(o_custkey % 3000 + 60 AS INTEGER) AS trip_duration
-    FROM orders)"""
-_KM_SQL = """6371.0::DOUBLE * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE,
-    cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude))
-      * cos(radians(dropoff_longitude) - radians(pickup_longitude))
-    + sin(radians(pickup_latitude)) * sin(radians(dropoff_latitude)))))"""
-_VALID_SQL = """pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL
-    AND pickup_longitude BETWEEN -180 AND 180 AND pickup_latitude BETWEEN -90 AND 90
-    AND dropoff_longitude BETWEEN -180 AND 180 AND dropoff_latitude BETWEEN -90 AND 90"""
-_REPORT_SQL = f"""WITH {_TRIPS_SQL}, measured AS (
-        SELECT *, {_KM_SQL} AS km, CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour,
-               strftime(pickup_datetime, '%a') AS pickup_dow
-        FROM trips WHERE {_VALID_SQL})
-    SELECT vendor_id, pickup_hour, pickup_dow, CAST(km > 10 AS INTEGER) AS long_haul_flag,
-           count(*) AS trip_count, round(avg(trip_duration), 4) AS avg_duration_sec,
-           quantile_disc(trip_duration, 0.5) AS median_duration_sec,
-           round(avg(km), 2) AS avg_distance_km, round(quantile_disc(km, 0.5), 2) AS median_distance_km,
-           min(passenger_count) AS min_passengers, max(passenger_count) AS max_passengers,
-           round(avg(passenger_count), 4) AS avg_passengers
+                ELSE (o_custkey % 3500) / 10.0::DOUBLE - 175.0::DOUBLE END AS lon_a,
+           (o_orderkey % 1400) / 10.0::DOUBLE - 70.0::DOUBLE AS lat_a,
+           (o_custkey % 3500) / 10.0::DOUBLE - 175.0::DOUBLE + (o_orderkey % 7 - 3) * 0.03::DOUBLE AS lon_b,
+           (o_orderkey % 1400) / 10.0::DOUBLE - 70.0::DOUBLE + (o_custkey % 5 - 2) * 0.04::DOUBLE AS lat_b,
+           CAST(o_custkey % 3000 + 60 AS INTEGER) AS seconds
+    FROM orders),
+measured AS (
+    SELECT *, 6371.0::DOUBLE * acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE,
+               sin(radians(lat_a)) * sin(radians(lat_b))
+               + cos(radians(lat_a)) * cos(radians(lat_b)) * cos(radians(lon_b - lon_a))))) AS km
+    FROM rides WHERE started IS NOT NULL AND ended IS NOT NULL AND abs(lon_a) <= 180 AND abs(lon_b) <= 180
+      AND abs(lat_a) <= 90 AND abs(lat_b) <= 90)"""
+_REPORT_SQL = f"""WITH {_RIDES_SQL}
+    SELECT company, CAST(hour(started) AS INTEGER) AS start_hour, strftime(started, '%a') AS start_day, CAST(km > 10 AS INTEGER) AS far,
+           count(*) AS rides, round(avg(seconds), 4) AS mean_seconds, quantile_disc(seconds, 0.5) AS median_seconds,
+           round(avg(km), 2) AS mean_km, round(quantile_disc(km, 0.5), 2) AS median_km,
+           min(riders) AS fewest_riders, max(riders) AS most_riders, round(avg(riders), 4) AS mean_riders
     FROM measured GROUP BY 1, 2, 3, 4"""
 
 
 def _rounded_report(report: DataFrame) -> DataFrame:
-    return report.withColumns(
-        {
-            "avg_duration_sec": F.round("avg_duration_sec", 4),
-            "avg_distance_km": F.round("avg_distance_km", 2),
-            "median_distance_km": F.round("median_distance_km", 2),
-            "avg_passengers": F.round("avg_passengers", 4),
-        }
-    )
+    digits = {"mean_seconds": 4, "mean_km": 2, "median_km": 2, "mean_riders": 4}
+    return report.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 @query("trip_report_dsl", _REPORT_SQL)
 def trip_report_dsl(spark, sf_dir):
-    return _rounded_report(reports.trip_report(trips(spark, sf_dir)))
+    return _rounded_report(reports.RIDES.frame(rides(spark, sf_dir)))
 
 
 @query("trip_report_sql", _REPORT_SQL)
 def trip_report_sql(spark, sf_dir):
-    return _rounded_report(reports.trip_report_sql(trips(spark, sf_dir), "tg_trips"))
+    return _rounded_report(reports.RIDES.from_text(rides(spark, sf_dir), "tg_rides"))
 
 
-@query(
-    "great_circle",
-    f"WITH {_TRIPS_SQL} SELECT id, round({_KM_SQL}, 2) AS km FROM trips WHERE {_VALID_SQL}",
-)
+@query("great_circle", f"WITH {_RIDES_SQL} SELECT ride, round(km, 2) AS km FROM measured")
 def great_circle(spark, sf_dir):
-    km = S.great_circle_km(
-        F.col("pickup_latitude"), F.col("pickup_longitude"),
-        F.col("dropoff_latitude"), F.col("dropoff_longitude"),
-    )
-    return reports.valid_trips(trips(spark, sf_dir)).select("id", F.round(km, 2).alias("km"))
+    km = S.great_circle_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+    return reports.RIDES.kept(rides(spark, sf_dir)).select("ride", F.round(km, 2).alias("km"))
 
 
 @query(
@@ -489,41 +469,21 @@ def pivot_year_month(spark, sf_dir):
     return pivot.select("year", *[F.round(m, 4).alias(m) for m in _MONTHS])
 
 
-@query("range_rand_ratio")
-def range_rand_ratio(spark, sf_dir):
-    """Share of random points in the unit disc, as many points as there are line items."""
-    rows = table(spark, sf_dir, "lineitem").count()
-    parts = spark.sparkContext.defaultParallelism
-    points = spark.range(0, rows, 1, parts).select(F.rand(1).alias("x"), F.rand(2).alias("y"))
-    inside = (F.col("x") * F.col("x") + F.col("y") * F.col("y") <= 1).cast("double")
-    return points.agg((F.avg(inside) * 4).alias("ratio"), F.count("*").alias("points"))
-
-
 @query(
     "estimate_spread",
-    """SELECT parts, round(var_samp(e), 9) AS estimate_variance,
-              round(avg(abs(e - 3.141592653589793)), 9) AS mean_error
-       FROM (SELECT p.parts, l_linenumber AS run,
-                    4 * avg(CASE WHEN pow((l_orderkey * 48271 + l_partkey * 16807 * p.parts) % 2147483647 / 2147483647.0::DOUBLE, 2)
-                          + pow((l_suppkey * 69621 + l_orderkey * 39373 * p.parts) % 2147483647 / 2147483647.0::DOUBLE, 2)
-                          <= 1 THEN 1.0 ELSE 0.0 END) AS e
-             FROM lineitem, (VALUES (2), (4), (8)) AS p(parts) GROUP BY 1, 2) GROUP BY parts""",
+    """WITH e AS (SELECT l_returnflag, l_suppkey, avg(l_extendedprice) AS e FROM lineitem GROUP BY ALL),
+            t AS (SELECT l_returnflag, avg(l_extendedprice) AS t FROM lineitem GROUP BY ALL)
+       SELECT l_returnflag, round(var_samp(e), 4) AS estimate_variance, round(avg(abs(e - t)), 4) AS mean_error
+       FROM e JOIN t USING (l_returnflag) GROUP BY l_returnflag""",
 )
 def estimate_spread(spark, sf_dir):
-    """Spread of the disc-ratio estimates over runs, per setting, with fixed pseudo-random points."""
-    k, p, s, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("parts")
-    prime = 2_147_483_647
-    x = (k * 48_271 + p * 16_807 * n) % prime / float(prime)
-    y = (s * 69_621 + k * 39_373 * n) % prime / float(prime)
-    runs = (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("parts", F.explode(F.array(F.lit(2), F.lit(4), F.lit(8))))
-        .groupBy("parts", "l_linenumber")
-        .agg((F.avg((x * x + y * y <= 1).cast("double")) * 4).alias("e"))
-    )
-    return runs.groupBy("parts").agg(
-        F.round(F.var_samp("e"), 9).alias("estimate_variance"),
-        F.round(F.avg(F.abs(F.col("e") - F.lit(3.141592653589793))), 9).alias("mean_error"),
+    """Mean prices by supplier as estimates of the mean price per return flag: spread and error."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey", "l_extendedprice")
+    estimates = lines.groupBy("l_returnflag", "l_suppkey").agg(F.avg("l_extendedprice").alias("estimate"))
+    truth = lines.groupBy("l_returnflag").agg(F.avg("l_extendedprice").alias("truth"))
+    spread = R.estimate_spread(lookup_join(estimates, truth, ["l_returnflag"]), "l_returnflag", "estimate", "truth")
+    return spread.select(
+        "l_returnflag", F.round("estimate_variance", 4).alias("estimate_variance"), F.round("mean_error", 4).alias("mean_error")
     )
 
 
@@ -546,16 +506,12 @@ def join_inner(spark, sf_dir):
 @query(
     "join_left",
     """SELECT c_custkey AS key, c_name, o_orderkey FROM customer
-       LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey""",
+       LEFT JOIN orders ON c_custkey = o_custkey""",
 )
 def join_left(spark, sf_dir):
-    pending = (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'P'")
-        .select(F.col("o_custkey").alias("key"), "o_orderkey")
-    )
+    placed = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name")
-    return R.key_join(customers, pending, ["key"], "left")
+    return R.key_join(customers, placed, ["key"], "left")
 
 
 @query(
@@ -688,11 +644,11 @@ def set_subtract_bag(spark, sf_dir):
 
 # ---------------------------------------------------------------- wide sensor frame
 
-SENSOR_COUNT = 14
+SENSOR_COUNT = 64
 
 
 def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fourteen readings per row from the first embedding dimensions."""
+    """One reading per row and embedding dimension."""
     return table(spark, sf_dir, "embeddings").select(
         "vec_id",
         "label",
@@ -704,6 +660,7 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 R_COLUMNS = [f"R{i}" for i in range(1, SENSOR_COUNT + 1)]
+LOWER, UPPER = R_COLUMNS[: SENSOR_COUNT // 2], R_COLUMNS[SENSOR_COUNT // 2 :]
 SENSORS_SQL = (
     "sensors AS (SELECT vec_id, label, "
     + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS R{i}" for i in range(1, SENSOR_COUNT + 1))
@@ -715,7 +672,7 @@ SENSORS_SQL = (
     "melt_sensors",
     f"""WITH {SENSORS_SQL} SELECT vec_id, substr(name, 2) AS "Sensor_ID", round(v, 6) AS "R",
         round(t, 6) AS "Target_R"
-        FROM (SELECT vec_id, unnest([{", ".join(f"'R{i}'" for i in range(1, 15))}]) AS name,
+        FROM (SELECT vec_id, unnest([{", ".join(f"'R{i}'" for i in range(1, SENSOR_COUNT + 1))}]) AS name,
                      unnest([{", ".join(R_COLUMNS)}]) AS v,
                      unnest([{", ".join(f"{c} + label" for c in R_COLUMNS)}]) AS t FROM sensors)""",
 )
@@ -745,31 +702,21 @@ def log1p_expm1(spark, sf_dir):
     return logged.select("vec_id", *columns)
 
 
-_SCALED = ["R1", "R7", "R14"]
-
-
 @query(
     "minmax_columns",
     f"WITH {SENSORS_SQL} SELECT vec_id, "
     + ", ".join(
         f"round(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()), 6) AS {c}"
-        for c in _SCALED
+        for c in R_COLUMNS
     )
     + " FROM sensors",
 )
 def minmax_columns(spark, sf_dir):
     wide = sensors(spark, sf_dir)
-    bounds = wide.agg(
-        F.struct(*[x for c in _SCALED for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
-    ).scalar()
-    return wide.select(
-        "vec_id",
-        *[
-            F.round(
-                S.min_max(F.col(c), bounds.getField(f"lo_{c}"), bounds.getField(f"hi_{c}")), 6
-            ).alias(c)
-            for c in _SCALED
-        ],
+    bounds = wide.agg(*[x for c in R_COLUMNS for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
+    placed = lookup_join(wide, bounds, [])
+    return placed.select(
+        "vec_id", *[F.round(S.min_max(F.col(c), F.col(f"lo_{c}"), F.col(f"hi_{c}")), 6).alias(c) for c in R_COLUMNS]
     )
 
 
@@ -791,8 +738,8 @@ def midrange_state(spark, sf_dir):
     "row_mean",
     f"""WITH {SENSORS_SQL}, n AS (SELECT vec_id, {", ".join(f"CASE WHEN {c} > 0 THEN {c} END AS {c}" for c in R_COLUMNS)} FROM sensors)
     SELECT vec_id, round(list_avg([{", ".join(R_COLUMNS)}]), 6) AS all_mean,
-           round(list_avg([{", ".join(R_COLUMNS[:7])}]), 6) AS first_mean,
-           round(list_avg([{", ".join(R_COLUMNS[7:])}]), 6) AS second_mean FROM n""",
+           round(list_avg([{", ".join(LOWER)}]), 6) AS first_mean,
+           round(list_avg([{", ".join(UPPER)}]), 6) AS second_mean FROM n""",
 )
 def row_mean(spark, sf_dir):
     positive = sensors(spark, sf_dir).select(
@@ -805,6 +752,6 @@ def row_mean(spark, sf_dir):
     return positive.select(
         "vec_id",
         mean(R_COLUMNS).alias("all_mean"),
-        mean(R_COLUMNS[:7]).alias("first_mean"),
-        mean(R_COLUMNS[7:]).alias("second_mean"),
+        mean(LOWER).alias("first_mean"),
+        mean(UPPER).alias("second_mean"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import scalar as S
 from tidegauge.operators import text
 from tidegauge.plans.registry import query, table
+from tidegauge.sources import readers
 from tidegauge.sources.stopwords import ENGLISH
 
 
@@ -97,6 +98,15 @@ def stopword_filter(spark, sf_dir):
     return kept.groupBy("word").agg(F.count("*").alias("count"))
 
 
+@query("stopword_filter_by_language")
+def stopword_filter_by_language(spark, sf_dir):
+    """Word counts per language without the stop words of that language."""
+    documents = table(spark, sf_dir, "documents").select("lang", "text")
+    stop = readers.stop_words(spark, sorted(readers.STOP_WORD_LANGUAGES))
+    kept = text.without_stop_words(text.tokens(documents, "text"), "word", stop, on=["lang"])
+    return kept.groupBy("lang", "word").agg(F.count("*").alias("count"))
+
+
 @query(
     "hash_sample",
     f"""WITH {_LINES} SELECT doc_id, line_no, value FROM lines

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +32,19 @@ def running_word_counts(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def windowed_means(events: DataFrame, ts: str, value: str, width: str, lateness: str) -> DataFrame:
-    """Tumbling-window means; a window is final once the watermark passes its end."""
+def windowed_means(
+    events: DataFrame, ts: str, value: str, width: str, lateness: str | None = None
+) -> DataFrame:
+    """Tumbling-window means.
+
+    Without ``lateness`` every event counts, whatever the order in which files arrive:
+    for bounded input.  With it, a window is final once the watermark passes its end and
+    events that come later still are dropped: for streams that never end.
+    """
+    if lateness is not None:
+        events = events.withWatermark(ts, lateness)
     return (
-        events.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, width))
+        events.groupBy(F.window(ts, width))
         .agg(F.avg(value).alias(value))
         .select(F.col("window.start").alias("start"), value)
     )
@@ -60,23 +68,20 @@ def run_bounded(query: StreamingQuery, seconds: float) -> None:
     query.stop()
 
 
-def drain(
-    stream: DataFrame, mode: str, label: str = "stream",
-    before_write: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+def drain(stream: DataFrame, mode: str, label: str = "stream", keys: Sequence[str] = ()) -> DataFrame:
     """Process all available input and return what was written.
 
     Each micro-batch is written to its own folder of the shared space; a retried
     batch overwrites its folder, so a result is never counted twice.  In complete
-    mode the last batch holds the whole result.
+    mode the last batch holds the whole result.  In update mode a batch holds the rows
+    that changed: name their ``keys`` to get the last state of each.
     """
     spark = stream.sparkSession
     root = fresh_path(spark, label)
     written: list[int] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        shaped = before_write(batch) if before_write else batch
-        shaped.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
         written.append(number)
 
     query = (
@@ -90,4 +95,12 @@ def drain(
     if not written:
         return spark.createDataFrame([], stream.schema)
     numbers = [max(written)] if mode == "complete" else sorted(set(written))
-    return spark.read.schema(stream.schema).parquet(*[f"{root}/out/batch={n}" for n in numbers])
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType())])
+    rows = spark.read.schema(schema).option("basePath", f"{root}/out").parquet(
+        *[f"{root}/out/batch={n}" for n in numbers]
+    )
+    if not keys:
+        return rows.drop("batch")
+    others = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("_last"))
+    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in others])
