@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import with_halo
 from tidegauge.operators.series import rolling_zscore
-from tidegauge.session import materialise, shuffle_tasks
+from tidegauge.session import materialise, ship_package, shuffle_tasks
 
 PAIR_CHUNK_ROWS = 8_192  # thousands of pairs per row: smaller chunks, more tasks
 LONGS_PER_TASK = 32  # long windows that one task scores for a chunk
@@ -59,6 +59,7 @@ def pair_counts(
     costs a few vector operations per chunk and only bounded counts are shuffled.
     Rows whose long window is constant have no z-score and are left out.
     """
+    ship_package(df.sparkSession)
     pairs = window_pairs(shorts, longs)
     widest = max(g for _, g in pairs)
     bounds = df.agg(

@@ -12,7 +12,7 @@ from tidegauge.functions.scalar import clip, epoch_seconds
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import index_rows, sliding
 from tidegauge.operators.relational import numeric_columns
-from tidegauge.session import materialise
+from tidegauge.session import materialise, ship_package
 
 
 def downsample(
@@ -283,6 +283,7 @@ def partial_autocorrelation(
     import numpy as np
     import pandas as pd
 
+    ship_package(df.sparkSession)
     acf = autocorrelation(df, column, lags, keys, rn)
 
     def recursion(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import CHUNK_ROWS, with_halo
 from tidegauge.operators.series import centred_series, lagged_products
+from tidegauge.session import ship_package
 
 # MacKinnon (1994), constant, one series: p-value polynomials in tau.
 ADF_TAU_STAR, ADF_TAU_MIN, ADF_TAU_MAX = -1.61, -18.83, 2.74
@@ -69,6 +70,7 @@ def adf_test(
     over chunks (a few hundred numbers per series) determines every candidate
     regression, so the data is read once.
     """
+    ship_package(df.sparkSession)
     centred = centred_series(df, column, keys, rn)
     sizes = centred.groupBy(*keys).agg(F.max("_n").alias("_n"), F.stddev_pop("_e").alias("_s"))
     longest = _max_lag(sizes.agg(F.max("_n")).first()[0] or 0)

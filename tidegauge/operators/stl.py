@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidegauge.operators.joins import lookup_join
 from tidegauge.operators.ordered import CHUNK_ROWS, exact_quantiles, with_halo
-from tidegauge.session import materialise, shuffle_tasks
+from tidegauge.session import materialise, ship_package, shuffle_tasks
 
 INNER_PASSES = 2
 OUTER_PASSES = 15
@@ -104,6 +104,7 @@ def stl_decompose(
     decomposed within one task; longer ones go through :func:`_stl_by_chunk`, so the
     length of a series is not limited by one worker.  Both ways give the same numbers.
     """
+    ship_package(df.sparkSession)
     cast = df.withColumn(column, F.col(column).cast("double"))
     lengths = cast.groupBy(*keys).agg(F.count("*").alias("_n"))
     sized = lookup_join(cast, lengths, list(keys))

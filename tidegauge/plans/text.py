@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import scalar as S
 from tidegauge.operators import text
 from tidegauge.plans.registry import query, table
+from tidegauge.session import fresh_path
 from tidegauge.sources import readers
 from tidegauge.sources.stopwords import ENGLISH
 
@@ -38,7 +39,10 @@ def line_lengths(spark, sf_dir):
         count(*) AS lines FROM lines""",
 )
 def malformed_lines(spark, sf_dir):
-    return text.malformed_lines(lines(spark, sf_dir), "value")
+    """Lines written to text files and read back from them."""
+    path = fresh_path(spark, "lines")
+    lines(spark, sf_dir).select("value").write.text(path)
+    return text.malformed_lines(readers.read_lines(spark, path), "value")
 
 
 @query(

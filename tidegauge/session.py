@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +74,23 @@ def shuffle_tasks(spark: SparkSession) -> int:
     """Tasks per shuffle.  Passing it to ``repartition`` keeps adaptive execution from
     merging small partitions whose rows are few but costly, as in grouped Python code."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidegauge-code-"), "tidegauge_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
