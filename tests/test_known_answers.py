@@ -83,8 +83,8 @@ def test_report_sql_equals_dsl(spark, sf_dir):
 
     rows = rides(spark, sf_dir)
     assert reports.RIDES.frame(rows).exceptAll(reports.RIDES.from_text(rows, "twin")).isEmpty()
-    totals = reports.group_totals(rows, "vendor_id", "passenger_count", "total")
-    assert totals.collect() == reports.group_totals_sql(rows, "vendor_id", "passenger_count", "total", "twin").collect()
+    totals = reports.group_totals(rows, "company", "riders", "total")
+    assert totals.collect() == reports.group_totals_sql(rows, "company", "riders", "total", "twin").collect()
 
 
 def test_sensor_csv_and_locale_sink(spark, tmp_path):
