@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.session import materialise
+from tidegauge.llm.tables import keep
 
 ROUNDS = 6
 _LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition, then position
@@ -89,7 +89,7 @@ def row_numbers(df: DataFrame, order_by: Sequence[str], into: str) -> tuple[Data
     the offsets.  Equal rows take neighbouring numbers in any order.
     """
     at, part, spot = f"{into}_at", f"{into}_part", f"{into}_before"
-    ordered = materialise(
+    ordered = keep(
         df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn(at, F.monotonically_increasing_id()),
         "ordered",
     )
