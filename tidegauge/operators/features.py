@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.operators.joins import lookup_join
-from tidegauge.operators.ordered import with_halo
+from tidegauge.operators.ordered import order_statistics, with_halo
 from tidegauge.operators.series import rolling_zscore
 from tidegauge.session import materialise, ship_package, shuffle_tasks
 
@@ -49,6 +49,19 @@ def window_pairs(shorts: Sequence[int], longs: Sequence[int]) -> list[tuple[int,
     return [(s, g) for g in longs for s in shorts if s < g]
 
 
+def _equal_shares(df: DataFrame, column: str, bins: int) -> np.ndarray:
+    """Values that cut the column into ``bins`` bins of about equally many rows.
+
+    Unlike equal widths, these keep telling rows apart when a single value lies far out.
+    """
+    x = df.select(F.col(column).cast("double").alias("_x"))
+    rows = x.agg(F.count("_x")).first()[0]
+    places = sorted({i * rows // bins for i in range(1, bins)}) if rows else []
+    wanted = df.sparkSession.createDataFrame([(p,) for p in places], "pos long")
+    found = {r["pos"]: r["_x"] for r in order_statistics(x, "_x", wanted).collect()}
+    return np.array([found[i * rows // bins] for i in range(1, bins)] if rows else [])
+
+
 def pair_counts(
     df: DataFrame, column: str, shorts: Sequence[int], longs: Sequence[int], rn: str = "rn",
     chunk: int = PAIR_CHUNK_ROWS,
@@ -57,7 +70,8 @@ def pair_counts(
 
     Chunks of the series are counted in their tasks with running sums, so a pair
     costs a few vector operations per chunk and only bounded counts are shuffled.
-    Rows whose long window is constant have no z-score and are left out.
+    Rows whose long window is constant have no z-score and are left out.  The next value is
+    put into bins of about equally many rows.
     """
     ship_package(df.sparkSession)
     pairs = window_pairs(shorts, longs)
@@ -65,6 +79,7 @@ def pair_counts(
     bounds = df.agg(
         F.min(column).alias("_low"), F.max(column).alias("_high"), F.avg(column).alias("_mid"),
     )
+    edges = _equal_shares(df, column, Y_BINS)
     source = lookup_join(df.select(rn, F.col(column).cast("double").alias("_x")), bounds, [])
     blocks = [list(longs)[i : i + LONGS_PER_TASK] for i in range(0, len(longs), LONGS_PER_TASK)]
     pieces = with_halo(source, rn, before=widest, after=1, chunk=chunk).withColumn(
@@ -84,9 +99,7 @@ def pair_counts(
         seen = np.concatenate([[0], np.cumsum(here)])
         # own rows that have a next value
         at = np.flatnonzero(own[:-1] & here[1:]) if len(x) > 1 else np.zeros(0, dtype=int)
-        width = (high - low) / Y_BINS
-        y_place = (x[at + 1] - low) / width if width > 0 else np.zeros(len(at))
-        yb = np.clip(np.floor(y_place), 0, Y_BINS - 1).astype(int)
+        yb = np.searchsorted(edges, x[at + 1], side="right")
         full = {}
 
         def mean(rows):

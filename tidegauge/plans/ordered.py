@@ -429,8 +429,9 @@ def _pair_sql(shorts, longs) -> str:
     return f"""WITH {_BUCKETS_SQL},
       cut AS (SELECT rn, value AS x FROM numbered WHERE rn <= floor(((SELECT count(*) FROM numbered) - 2) * 0.9::DOUBLE)),
       b AS (SELECT min(x) AS lo, max(x) AS hi FROM cut),
-      y AS (SELECT rn, x, lo, hi, greatest(least(floor((lead(x) OVER (ORDER BY rn) - lo) / ((hi - lo) / 16)), 15), 0) AS yb0,
-                   lead(x) OVER (ORDER BY rn) AS nx FROM cut, b),
+      e AS (SELECT [l[1 + i * len(l) // 16] for i in range(1, 16)] AS edges FROM (SELECT list(x ORDER BY x) AS l FROM cut)),
+      n AS (SELECT rn, x, lo, hi, edges, lead(x) OVER (ORDER BY rn) AS nx FROM cut, b, e),
+      y AS (SELECT rn, x, lo, hi, nx, len([v for v in edges if nx >= v]) AS yb0 FROM n),
       w AS (SELECT rn, lo, hi, CASE WHEN nx IS NOT NULL THEN yb0 END AS yb, {means}, {devs} FROM y),
       {_Z_SQL.format(parts=parts)},
       j AS (SELECT s, g, zb, yb, count(*) AS n FROM zy GROUP BY ALL),
