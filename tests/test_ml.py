@@ -57,3 +57,20 @@ def test_cross_validation_shares_fits(spark):
     )
     assert len(scores) == 9 and max(scores) > 0.75 and chosen in small
     assert fitted.transform(rows).filter("prediction = y").count() > 200
+
+
+def test_lookback_forecast_equals_direct_ridge(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 2, 3))
+    y = np.stack([x[:, 0, 0] * 2 + x[:, 1, 2], rng.normal(size=60) + 5], axis=1)
+    rows = [(i, x[i].tolist(), *map(float, y[i]), "train" if i < 45 else "test") for i in range(60)]
+    frame = spark.createDataFrame(rows, "rn long, window array<array<double>>, a double, b double, split string").repartition(5)
+    got = ml.lookback_forecast(frame, ["a", "b"], 0.1).orderBy("rn", "Sensor_ID").collect()
+    flat, train = x.reshape(60, 6), slice(0, 45)
+    mean, scale = flat[train].mean(axis=0), flat[train].std(axis=0)
+    z = (flat - mean) / scale
+    for j, name in enumerate("12"):
+        centre = y[train, j].mean()
+        w = np.linalg.solve(z[train].T @ z[train] / 45 + 0.1 * np.eye(6), z[train].T @ (y[train, j] - centre) / 45)
+        found = [r.prediction for r in got if r.Sensor_ID == name]
+        assert np.allclose(found, z[45:] @ w + centre)
