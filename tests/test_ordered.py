@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge import session
 from tidegauge.operators import joins, ordered, series
 
 
@@ -140,3 +141,11 @@ def test_hot_keys_are_split(spark, hot):
         assert {r.k: r["count"] for r in got} == want
     salted = joins.salted_lookup_join(left, right.dropDuplicates(["k"]), ["k"], per_salt=10)
     assert salted.count() == left.count()
+
+
+def test_intermediates_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    session.materialise(spark.range(3))
+    assert len(list(tmp_path.iterdir())) == 1
+    session.remove_intermediates(spark)
+    assert list(tmp_path.iterdir()) == []

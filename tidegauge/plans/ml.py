@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -331,6 +331,28 @@ def silhouette(spark, sf_dir):
     return spark.createDataFrame([(score,)], "silhouette double")
 
 
+@query(
+    "silhouette_by_label",
+    """WITH p AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+       q AS (SELECT *, list_inner_product(x, x) AS sq FROM p),
+       m AS (SELECT label, list(y ORDER BY i) AS y FROM (
+                 SELECT label, i, sum(v) AS y FROM (SELECT label, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM p) GROUP BY ALL)
+             GROUP BY label),
+       c AS (SELECT label, count(*) AS n, sum(sq) AS psi FROM q GROUP BY label),
+       d AS (SELECT vec_id, q.label = c.label AS own, n, sq + psi / n - 2 * list_inner_product(x, y) / n AS d
+             FROM q, c JOIN m USING (label)),
+       s AS (SELECT vec_id, max(n) FILTER (own) AS n, max(d * n / nullif(n - 1, 0)) FILTER (own) AS a, min(d) FILTER (NOT own) AS b
+             FROM d GROUP BY vec_id)
+       SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""",
+)
+def silhouette_by_label(spark, sf_dir):
+    """Silhouette of the given labels as clusters, on all components."""
+    points = table(spark, sf_dir, "embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.col("label").alias("cluster")
+    )
+    return spark.createDataFrame([(round(ml.silhouette(points), 6),)], "silhouette double")
+
+
 @query("pca_2d")
 def pca_2d(spark, sf_dir):
     points = ml.principal_components(_clustered(spark, sf_dir), 2)

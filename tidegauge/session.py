@@ -54,7 +54,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(_own_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), f"tidegauge-{spark.sparkContext.applicationId}")
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application has written.
+
+    Results that still read them must have been written elsewhere before.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
