@@ -180,11 +180,24 @@ HORIZONS = {
 }
 
 
-def horizon_zscores(df: DataFrame, column: str, rn: str = "rn", horizons=None) -> DataFrame:
-    """Search the best pair for each horizon and add its z-score as a feature."""
-    for name, (shorts, longs) in (horizons or HORIZONS).items():
-        best = best_window_pair(df, column, shorts, longs, rn=rn).first()
-        df = rolling_zscore(
-            df, column, best["short_window"], best["long_window"], f"{column}_{name}_zscore", rn=rn
-        )
+def horizon_zscores(
+    df: DataFrame, columns: str | Sequence[str], rn: str = "rn", horizons=None
+) -> DataFrame:
+    """Search the best pair per column and horizon and add its z-score as a feature.
+
+    All searches read the frame as it came; the features are added afterwards.  A series
+    too short for a horizon gets z-scores of 0.
+    """
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    found = {
+        (column, name): best_window_pair(df, column, shorts, longs, rn=rn).first()
+        for column in columns
+        for name, (shorts, longs) in (horizons or HORIZONS).items()
+    }
+    for (column, name), best in found.items():
+        into = f"{column}_{name}_zscore"
+        if best["short_window"] is None:
+            df = df.withColumn(into, F.lit(0.0))
+        else:
+            df = rolling_zscore(df, column, best["short_window"], best["long_window"], into, rn=rn)
     return df

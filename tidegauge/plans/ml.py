@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
-from tidegauge.operators import ml, ordered, relational, series
+from tidegauge.operators import features, ml, ordered, relational, series
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import LOWER, R_COLUMNS, SENSOR_COUNT, SENSORS_SQL, UPPER, sensors
 from tidegauge.session import materialise
@@ -155,38 +155,40 @@ def linear_regression(spark, sf_dir):
     )
 
 
+#: Window grids for a series of a few hundred rows.
+_HORIZONS = {
+    "short": (range(1, 7), range(2, 13)), "medium": (range(1, 7), range(20, 31)), "long": (range(1, 7), range(40, 51)),
+}
+_MEANS = ["lower_mean", "upper_mean"]
+
+
 def long_sensors(spark, sf_dir):
-    """Melted log-scale sensors with their next reading and derived context columns."""
-    logged = sensors(spark, sf_dir).select(
-        "vec_id", "label", *[F.log1p(c).alias(c) for c in R_COLUMNS]
+    """Melted log-scale sensors with their next reading and derived context columns.
+
+    Context: the label, its change and its high or low state, the mean of all sensors and
+    of both halves, and the z-scores of both halves over the best window pair of each
+    horizon.
+    """
+    logged = sensors(spark, sf_dir).select("vec_id", "label", *[F.log1p(c).alias(c) for c in R_COLUMNS])
+    means = {"all_mean": R_COLUMNS, "lower_mean": LOWER, "upper_mean": UPPER}
+    rows = materialise(
+        ordered.index_rows(logged.withColumns({n: S.row_mean([F.col(c) for c in cs]) for n, cs in means.items()}), ["vec_id"]),
+        "sensors",
     )
-    rows = ordered.index_rows(
-        logged.withColumns(
-            {
-                "Sensors_Mean": S.row_mean([F.col(c) for c in R_COLUMNS]),
-                "lower_mean": S.row_mean([F.col(c) for c in LOWER]),
-                "upper_mean": S.row_mean([F.col(c) for c in UPPER]),
-            }
-        ),
-        ["vec_id"],
+    middle = rows.agg((F.min("label") + F.max("label")) / 2).first()[0]
+    stepped = series.shift_difference(rows, "label", "label_step").withColumns(
+        {"label_step": F.coalesce("label_step", F.lit(0)), "label_state": F.when(F.col("label") > F.lit(middle), 1).otherwise(0)}
     )
-    scored = series.rolling_zscore(rows, "lower_mean", 3, 12, "lower_mean_short_zscore")
-    scored = series.rolling_zscore(scored, "upper_mean", 3, 12, "upper_mean_short_zscore")
+    scored = features.horizon_zscores(materialise(stepped, "context"), _MEANS, horizons=_HORIZONS)
     led = series.lead_targets(scored, R_COLUMNS)
     groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, SENSOR_COUNT + 1)}
-    melted = relational.melt_pairs(
-        materialise(led.withColumnRenamed("label", "Label"), "features"),
-        ["vec_id", "Label", "lower_mean", "upper_mean", "lower_mean_short_zscore", "upper_mean_short_zscore"],
-        groups, "Sensor_ID", ["Target_R", "R"],
-    )
+    melted = relational.melt_pairs(materialise(led, "features"), ["vec_id", *_CONTEXT], groups, "Sensor_ID", ["Target_R", "R"])
     indexed = ml.string_index(melted, "Sensor_ID", "sensor_code")
     return ordered.chronological_split(indexed, "vec_id")
 
 
-_FEATURES = [
-    "R", "sensor_code", "Label", "lower_mean", "upper_mean",
-    "lower_mean_short_zscore", "upper_mean_short_zscore",
-]
+_CONTEXT = ["label", "label_step", "label_state", "all_mean", *_MEANS, *[f"{c}_{h}_zscore" for c in _MEANS for h in _HORIZONS]]
+_FEATURES = ["R", "sensor_code", *_CONTEXT]
 
 
 @query(
