@@ -162,12 +162,12 @@ _HORIZONS = {
 _MEANS = ["lower_mean", "upper_mean"]
 
 
-def long_sensors(spark, sf_dir):
+def long_sensors(spark, sf_dir, count=SENSOR_COUNT):
     """Melted log-scale sensors with their next reading and derived context columns.
 
     Context: the label, its change and its high or low state, the mean of all sensors and
     of both halves, and the z-scores of both halves over the best window pair of each
-    horizon.
+    horizon.  ``count`` sensors are melted; the context always comes from all of them.
     """
     logged = sensors(spark, sf_dir).select("vec_id", "label", *[F.log1p(c).alias(c) for c in R_COLUMNS])
     means = {"all_mean": R_COLUMNS, "lower_mean": LOWER, "upper_mean": UPPER}
@@ -180,8 +180,8 @@ def long_sensors(spark, sf_dir):
         {"label_step": F.coalesce("label_step", F.lit(0)), "label_state": F.when(F.col("label") > F.lit(middle), 1).otherwise(0)}
     )
     scored = features.horizon_zscores(materialise(stepped, "context"), _MEANS, horizons=_HORIZONS)
-    led = series.lead_targets(scored, R_COLUMNS)
-    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, SENSOR_COUNT + 1)}
+    led = series.lead_targets(scored, R_COLUMNS[:count])
+    groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, count + 1)}
     melted = relational.melt_pairs(materialise(led, "features"), ["vec_id", *_CONTEXT], groups, "Sensor_ID", ["Target_R", "R"])
     indexed = ml.string_index(melted, "Sensor_ID", "sensor_code")
     return ordered.chronological_split(indexed, "vec_id")
@@ -222,10 +222,14 @@ def holdout_search(spark, sf_dir):
 
 @query("rf_regression")
 def rf_regression(spark, sf_dir):
-    """Random forest of 200 trees, error metrics per sensor."""
+    """Random forest of 200 trees, error metrics per sensor, for the fourteen sensors of a recording.
+
+    Two hundred trees of depth 20 have about as many nodes as two hundred copies of the
+    training rows, all held by the driver; that bounds the rows one forest can take.
+    """
     model = ml.random_forest("Target_R")
     return ml.train_sensor_model(
-        long_sensors(spark, sf_dir), model, ml.forest_grid(model), _FEATURES, "Target_R", "Sensor_ID"
+        long_sensors(spark, sf_dir, count=14), model, ml.forest_grid(model), _FEATURES, "Target_R", "Sensor_ID"
     )
 
 
