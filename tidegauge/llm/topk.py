@@ -189,8 +189,9 @@ def top_k(
         "vectors",
     )
     width = usable.agg(F.max(F.size("v"))).first()[0] or 0
-    # Pivots for the layout only: a fixed number of vectors, chosen by a hash.
-    chosen = usable.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).select("v").toArrow().column("v").combine_chunks()
+    # Pivots for the layout only: a few vectors, drawn in their tasks.
+    share = min(1.0, 2 * PIVOTS / max(usable.count(), 1))
+    chosen = usable.select("v").filter(F.rand(7) < share).limit(PIVOTS).toArrow().column("v").combine_chunks()
     pivots = _matrix(chosen, width).astype(np.float64)
     pivots /= np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-9)
     candidates = usable.select("id", "v").mapInArrow(_nearest(pivots), "id long, v array<long>, near int")
