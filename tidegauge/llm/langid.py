@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import wordhash as W
-from tidegauge.llm.tables import ship
+from tidegauge.llm.tables import keep, ship
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -123,18 +123,18 @@ def train(labelled: DataFrame, text: Column, lang: Column, smoothing: float = 0.
     """
     ship(labelled.sparkSession)
     rows = labelled.select(F.lower(text.cast("string")).alias("_text"), lang.cast("string").alias("_lang")).dropna()
-    counts = (
+    counts = keep(
         rows.mapInArrow(_counting, "language string, bucket int, n long")
-        .groupBy("language", "bucket").agg(F.sum("n").alias("n"))
+        .groupBy("language", "bucket").agg(F.sum("n").alias("n")),
+        "ngrams",
     )
-    # At most BUCKETS + 1 rows per language.
     languages = [r[0] for r in counts.filter("bucket = -1").select("language").limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
         return None
     languages.sort()
-    table = counts.toArrow()
+    table = counts.toArrow()  # at most BUCKETS + 1 rows per language
     place = {x: i for i, x in enumerate(languages)}
     row = np.array([place[x] for x in table.column("language").to_pylist()])
     bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
