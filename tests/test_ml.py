@@ -5,8 +5,10 @@ import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
 
-from tidegauge.operators import ml
+from tidegauge.operators import features, ml
+from tidegauge.plans import ml as plans
 
 
 def test_string_index_ties_are_alphabetical(spark):
@@ -74,3 +76,17 @@ def test_lookback_forecast_equals_direct_ridge(spark):
         w = np.linalg.solve(z[train].T @ z[train] / 45 + 0.1 * np.eye(6), z[train].T @ (y[train, j] - centre) / 45)
         found = [r.prediction for r in got if r.Sensor_ID == name]
         assert np.allclose(found, z[45:] @ w + centre)
+
+
+def test_training_frame_searches_all_window_pairs(spark, sf_dir, monkeypatch):
+    searched, search = {}, features.best_window_pair
+
+    def noted(df, column, shorts, longs, **more):
+        searched.setdefault(column, []).extend(features.window_pairs(shorts, longs))
+        return search(df, column, shorts, longs, **more)
+
+    monkeypatch.setattr(features, "best_window_pair", noted)
+    rows = plans.long_sensors(spark, sf_dir, count=1)
+    want = [p for shorts, longs in features.HORIZONS.values() for p in features.window_pairs(shorts, longs)]
+    assert len(want) > 6000 and searched == {c: want for c in plans._MEANS}
+    assert rows.select(*[F.count_if(F.col(c).isNull()) for c in plans._CONTEXT if c.endswith("zscore")]).first()[:] == (0,) * 6

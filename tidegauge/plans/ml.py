@@ -155,10 +155,6 @@ def linear_regression(spark, sf_dir):
     )
 
 
-#: Window grids for a series of a few hundred rows.
-_HORIZONS = {
-    "short": (range(1, 7), range(2, 13)), "medium": (range(1, 7), range(20, 31)), "long": (range(1, 7), range(40, 51)),
-}
 _MEANS = ["lower_mean", "upper_mean"]
 
 
@@ -179,7 +175,7 @@ def long_sensors(spark, sf_dir, count=SENSOR_COUNT):
     stepped = series.shift_difference(rows, "label", "label_step").withColumns(
         {"label_step": F.coalesce("label_step", F.lit(0)), "label_state": F.when(F.col("label") > F.lit(middle), 1).otherwise(0)}
     )
-    scored = features.horizon_zscores(materialise(stepped, "context"), _MEANS, horizons=_HORIZONS)
+    scored = features.horizon_zscores(materialise(stepped, "context"), _MEANS)
     led = series.lead_targets(scored, R_COLUMNS[:count])
     groups = {str(i): (f"Target_R{i}", f"R{i}") for i in range(1, count + 1)}
     melted = relational.melt_pairs(materialise(led, "features"), ["vec_id", *_CONTEXT], groups, "Sensor_ID", ["Target_R", "R"])
@@ -187,7 +183,7 @@ def long_sensors(spark, sf_dir, count=SENSOR_COUNT):
     return ordered.chronological_split(indexed, "vec_id")
 
 
-_CONTEXT = ["label", "label_step", "label_state", "all_mean", *_MEANS, *[f"{c}_{h}_zscore" for c in _MEANS for h in _HORIZONS]]
+_CONTEXT = ["label", "label_step", "label_state", "all_mean", *_MEANS, *[f"{c}_{h}_zscore" for c in _MEANS for h in features.HORIZONS]]
 _FEATURES = ["R", "sensor_code", *_CONTEXT]
 
 
