@@ -1,8 +1,10 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import itertools
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -196,6 +198,25 @@ def test_mixing_of_odd_inputs(spark):
     assert mixing.mixed(frame.limit(0)).count() == 0
 
 
+def test_mixing_keeps_exact_weights_over_long_mixtures(spark):
+    sizes = {"hot": 500_000, **{f"s{i}": 900 + 37 * i for i in range(30)}}
+    frame = None
+    for name, n in sizes.items():
+        part = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(name).alias("source"))
+        frame = part if frame is None else frame.unionByName(part)
+    weights = {name: n**0.5 if name != "hot" else 61.7 * 7 for name, n in sizes.items()}
+    got = mixing.mixed(frame, weights=weights, block_rows=4).select("source", "block", "release", "deadline", "slot").distinct().toPandas()
+    slots, total = len(got), sum(Fraction(w) for w in weights.values())
+    assert slots > 3 * mixing.RESOLUTION and sorted(got["slot"]) == list(range(slots))
+    for name, rows in got.sort_values("slot").groupby("source"):
+        share = Fraction(weights[name]) / total
+        assert rows["block"].tolist() == list(range(len(rows)))
+        for j, release, deadline, slot in rows[["block", "release", "deadline", "slot"]].itertuples(index=False):
+            assert release == int(j / share) <= slot < deadline == math.ceil((j + 1) / share)
+            # the deviation is extreme just before and just after a block
+            assert abs(j - slot * share) < 1 and abs(j + 1 - (slot + 1) * share) < 1
+
+
 @pytest.mark.parametrize("rows", [1, 2, 3, 5, 15, 16, 17, 100, 1000])
 def test_permutation_is_one_to_one(spark, rows):
     got = spark.range(rows).select("id", sharding.permuted(F.col("id"), rows, 9).alias("p")).collect()
