@@ -271,6 +271,21 @@ def test_personal_data_and_the_terms_that_disclose_it(spark):
     assert disclosure.find_personal(docs(spark, [])).count() == 0
 
 
+def test_disclosing_terms_are_found_over_whole_documents(spark):
+    def page(i):
+        far = " ".join(f"row {i} {n}" for n in range(60))
+        return f"Wilhelmina {far} w.quast@mail.example.org {far} 1.2.3.999 Wilhelmina and again wilhelmina"
+
+    texts = [page(i) for i in range(12)] + ["no entity, but Wilhelmina"] + [f"{prose(30, i)} w.quast@mail.example.org" for i in range(1)]
+    texts += [f"other {i} text {prose(20, i + 900)}" for i in range(60)]
+    got = disclosure.find_personal(docs(spark, texts, CLASH)).orderBy("doc.doc_id").collect()
+    for i, text in enumerate(texts):
+        want = [(m.start(), m.end(), "name" if m.group()[0] == "W" else "term") for m in re.finditer("[Ww]ilhelmina", text)]
+        found = sorted((s.start, s.end, s.kind) for s in got[i].added if text[s.start : s.end].lower() == "wilhelmina")
+        assert found == want and len(want) == (3 if i < 12 else i == 12)
+        assert not any("@" in text[s.start - 1 : s.end + 1] for s in got[i].added)
+
+
 def test_running_starts(spark):
     for n in (1, 2, 255, 256, 257, 1000):
         got = spark.range(1).select(patterns.running_starts(F.sequence(F.lit(1), F.lit(n).cast("long")))).first()[0]

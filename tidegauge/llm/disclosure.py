@@ -4,8 +4,8 @@ Base kinds are found by their shapes.  Each found value is a protected entity.
 term tells about an entity is their pointwise mutual information over the documents of the
 corpus, ``log2(p(t, e) / (p(t) p(e)))``; a term that discloses at least ``share`` of the
 entity's own information content ``-log2 p(e)`` (in at least ``support`` documents) is a
-disclosing term.  Where it stands near the entity it is a span of its own: a capitalised
-term is generalised to a name, any other is removed.  Built-in functions only.
+disclosing term.  Wherever it stands, in any document, it is a span of its own: a
+capitalised term is generalised to a name, any other is removed.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import patterns as P
 from tidegauge.llm.tables import keep
+from tidegauge.operators.joins import lookup_join
 
 # The patterns of the base kinds, in a form that never backtracks far.
 PATTERNS = {
@@ -26,8 +27,8 @@ PATTERNS = {
 BASE = list(PATTERNS)
 ADDED = ["name", "term"]
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-_TERM = r"[\p{L}\p{N}]+"
-_BETWEEN = r"[^\p{L}\p{N}]+"
+_SIGN = r"[\p{L}\p{N}]"
+_TERM = _SIGN + "+"
 
 
 def _digits(value: Column) -> Column:
@@ -55,66 +56,74 @@ def _usable(term: Column) -> Column:
     return (F.length(term) >= 3) & term.rlike(r"\p{L}")
 
 
-def _terms(side: Column, first: Column, open_left: Column, open_right: Column) -> Column:
-    """Terms of a stretch of text with their places; pieces cut by an open end are left out."""
-    found = F.regexp_extract_all(side, F.lit(_TERM), F.lit(0))
-    gaps = F.slice(F.split(side, _TERM, -1), 1, F.size(found))
-    starts = P.running_starts(F.zip_with(gaps, found, lambda g, t: (F.length(g) + F.length(t)).cast("long")))
-    placed = F.transform(
-        F.arrays_zip(found.alias("t"), gaps.alias("g"), starts.alias("s")),
-        lambda x: F.struct(
-            x["t"].alias("term"), (x["s"] + F.length(x["g"])).alias("at"), (x["s"] + F.length(x["g"]) + F.length(x["t"])).alias("to")
-        ),
-    )
-    whole = F.filter(placed, lambda x: _usable(x["term"]) & ~(open_left & (x["at"] == 0)) & ~(open_right & (x["to"] == F.length(side))))
-    return F.transform(whole, lambda x: F.struct(
-        x["term"].alias("term"), (first + x["at"]).alias("start"), (first + x["to"]).alias("end")
-    ))
+def _blanked(df: DataFrame) -> DataFrame:
+    """``df`` with spaces in ``_text`` for the values of the base kinds, every place kept."""
+    for kind, pattern in PATTERNS.items():
+        gaps, found = F.split("_text", pattern, -1), F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))
+        fills = F.transform(found, lambda m: F.when(_PASSING[kind](m), F.repeat(F.lit(" "), F.length(m))).otherwise(m))
+        pieces = F.zip_with(gaps, fills, lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
+        df = df.withColumn("_text", F.when(F.size(kind) > 0, F.array_join(pieces, "")).otherwise(F.col("_text")))
+    return df
+
+
+def _forms(text: Column) -> Column:
+    """The distinct terms of a text as they are written."""
+    return F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), _usable))
 
 
-def _nearby(kind: str, around: int) -> Column:
-    """Terms on both sides of every span of a kind, with the span's value as the entity."""
-    def of(x: Column) -> Column:
-        left = _terms(x["before"], x["start"] - F.length(x["before"]), F.length(x["before"]) == around, F.lit(False))
-        right = _terms(x["after"], x["end"], F.lit(False), F.length(x["after"]) == around)
-        return F.transform(F.concat(left, right), lambda t: F.struct(
-            F.concat(F.lit(f"{kind}:"), F.lower(x["value"])).alias("entity"),
-            t["term"].alias("term"), t["start"].alias("start"), t["end"].alias("end"),
-        ))
+def _words(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(_forms(text), F.lower))
 
-    return F.flatten(F.transform(kind, of))
 
+def _entities(kind: str) -> Column:
+    return F.transform(kind, lambda x: F.concat(F.lit(f"{kind}:"), F.lower(x["value"])))
 
-def disclosing_terms(documents: DataFrame, near: DataFrame, total: int, share: float, support: int) -> DataFrame:
-    """``(entity, term)`` pairs whose co-occurrence discloses the entity.
 
-    ``documents`` has every text (``_text``), ``near`` the rows ``_rid, entity, term`` of
-    terms found near entities; ``total`` is the number of documents.
+def disclosing_terms(documents: DataFrame, total: int, share: float, support: int) -> DataFrame:
+    """Terms that disclose an entity by their co-occurrence over whole documents.
+
+    ``documents`` has every text outside of its entities (``_text``) and the distinct
+    entities of it (``_entities``); ``total`` is the number of documents.
     """
-    pairs = near.select("_rid", "entity", "term").distinct()
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    entities = near.select("_rid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = (
-        documents.select(F.explode(F.array_distinct(F.split(F.lower("_text"), _BETWEEN))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("n_term"))
+    held = documents.filter(F.size("_entities") > 0)
+    entities = (
+        held.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+        .filter((F.col("n_entity") >= support) & (F.col("n_entity") < total))
+    )
+    # A pair has at most n_entity documents, so rarer entities and terms cannot reach the support.
+    repeated = lookup_join(
+        held.select("_rid", F.explode("_entities").alias("entity")), entities.select("entity"), ["entity"], how="inner"
+    ).groupBy("_rid").agg(F.collect_list("entity").alias("_e"))
+    terms = keep(
+        documents.select(F.explode(_words(F.col("_text"))).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= support),
+        "terms",
+    )
+    both = keep(
+        held.select("_rid", _words(F.col("_text")).alias("_w")).join(repeated, "_rid")
+        .select("_e", F.explode("_w").alias("term")).select("term", F.explode("_e").alias("entity"))
+        .groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support),
+        "pairs",
     )
     content = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
     shared = content + F.log2(F.col("n_both") / F.col("n_term"))
     return (
-        both.join(entities, "entity").join(terms, "term")
-        .filter((content > 0) & (shared >= share * content)).select("entity", "term")
+        lookup_join(lookup_join(both, entities, ["entity"], how="inner"), terms, ["term"], how="inner", derived=False)
+        .filter(shared >= share * content).select("term").distinct()
     )
 
 
 def find_personal(
-    docs: DataFrame, text: str = "text", carry: list[str] | None = None, around: int = 48, share: float = 0.9, support: int = 2
+    docs: DataFrame, text: str = "text", carry: list[str] | None = None, share: float = 0.9, support: int = 2
 ) -> DataFrame:
     """Spans of personal data and of terms that disclose it.
 
     Columns: ``doc`` (the columns in ``carry``, all if not given, as a struct), ``base``
     and ``added``, arrays of ``kind, rank, start, end``.  Terms are runs of letters and
-    digits with a letter and three characters at least, compared in lower case, within
-    ``around`` characters of the entity and not beyond the next value of its kind.
+    digits outside of the base spans, with a letter and three characters at least,
+    compared in lower case over whole documents; every occurrence of a disclosing term
+    is a span, also in documents without the entity.
 
     A null or empty text has no spans.  Repeated rows count as documents of their own.  An
     entity of every document tells nothing and has no disclosing terms.  An empty table
@@ -122,23 +131,29 @@ def find_personal(
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*(docs.columns if carry is None else carry)).alias("doc"), body.alias("_text"))
-    found = P.located(rows, "_text", PATTERNS, _PASSING, around).drop("_text")
+    found = _blanked(P.located(rows, "_text", PATTERNS, _PASSING))
     found = keep(found.select(
         F.monotonically_increasing_id().alias("_rid"), "doc", P.tagged(BASE).alias("base"),
-        F.concat(*[_nearby(k, around) for k in BASE]).alias("_near"),
+        F.array_distinct(F.concat(*[_entities(k) for k in BASE])).alias("_entities"), "_text",
     ), "personal")
-    near = found.select("_rid", F.explode("_near").alias("n")).select(
-        "_rid", "n.entity", F.lower("n.term").alias("term"),
-        F.when(F.col("n.term").rlike(r"^\p{Lu}"), "name").otherwise("term").alias("kind"), "n.start", "n.end",
-    )
-    giving = disclosing_terms(rows, near, found.count(), share, support)
-    added = near.join(giving, ["entity", "term"]).groupBy("_rid").agg(F.collect_set(F.struct(
-        "kind", F.when(F.col("kind") == "name", len(BASE)).otherwise(len(BASE) + 1).alias("rank"), "start", "end"
-    )).alias("added"))
-    return found.join(added, "_rid", "left").select(
-        "doc", "base", F.coalesce("added", F.array().cast("array<struct<kind:string,rank:int,start:long,end:long>>")).alias("added"),
+    giving = disclosing_terms(found.select("_rid", "_entities", "_text"), found.count(), share, support)
+    forms = found.select("_rid", F.explode(_forms(F.col("_text"))).alias("form")).withColumn("term", F.lower("form"))
+    sought = lookup_join(forms, giving, ["term"], how="inner").groupBy("_rid").agg(F.concat(
+        F.lit(rf"(?<!{_SIGN})(?:"), F.array_join(F.sort_array(F.collect_list("form")), "|"), F.lit(rf")(?!{_SIGN})")
+    ).alias("_pattern"))
+    placed = P.located(
+        found.drop("_entities").join(sought, "_rid", "left"), "_text", {"term": F.col("_pattern")}, {"term": lambda m: F.lit(True)}
     )
 
+    def span(x: Column) -> Column:
+        name = x["value"].rlike(r"^\p{Lu}")
+        return F.struct(
+            F.when(name, "name").otherwise("term").alias("kind"), F.when(name, len(BASE)).otherwise(len(BASE) + 1).alias("rank"),
+            x["start"].alias("start"), x["end"].alias("end"),
+        )
+
+    return placed.select("doc", "base", F.transform("term", span).alias("added"))
+
 
 def sanitised(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced: base kinds and names by their kind, terms by nothing.
