@@ -254,6 +254,19 @@ def test_random_strings_are_told_from_written_ones(spark):
     assert sum(bool(r.added) for r in got[60:]) <= 3
 
 
+def test_random_parts_of_urls_and_paths_are_found(spark):
+    pick = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    frames = ["get https://example.com/v1/user-data/{} now", "see //b/build_logs/{} here", "at /var/my_cache/long-term/{}/index_new.html"]
+    keys = ["".join(pick.choice(letters) for _ in range(n)) for n in (24, 28, 40) * 20]
+    texts = [frames[i % 3].format(k) for i, k in enumerate(keys)]
+    texts += [frames[i % 3].format(f"{pick.choice(WORD)}_{pick.choice(WORD)}-{pick.choice(WORD)}_{2000 + i}") for i in range(60)]
+    got = secrets.find_secrets(docs(spark, texts)).orderBy("doc.doc_id").collect()
+    found = [{texts[i][s.start : s.end] for s in r.added} for i, r in enumerate(got)]
+    assert sum(k in f for k, f in zip(keys, found)) >= 50 and sum(map(bool, found[60:])) <= 3
+    assert all(len(f) <= 1 for f in found)
+
+
 def test_personal_data_and_the_terms_that_disclose_it(spark):
     texts = [f"{prose(20, i)} Wilhelmina Quast writes from w.quast@mail.example.org today {prose(20, i + 50)}" for i in range(6)]
     texts += [f"{prose(30, i + 500)} writes from home today" for i in range(40)]

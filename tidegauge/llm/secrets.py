@@ -4,6 +4,8 @@ Beside assignments, access keys and long hexadecimal numbers, every long run of
 characters is tested for randomness: a chi-squared test for equal use of the alphabet of
 its inferred encoding, a runs test about the middle of the alphabet, and the serial
 correlation of neighbouring symbols.  The three are combined (Cauchy) into one p value.
+The parts of a run, cut at slashes and at all of ``/ _ - +``, are tested as well, so that a
+random part of a URL or path is neither lost nor diluted.
 
 Random strings have p values spread evenly over 0 to 1, written ones have small values.
 Per encoding and length band, the corpus shows how many random strings there are (twice
@@ -27,14 +29,29 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 _RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+# Parts of a run, cut at / and at any separator; only what was cut, as whole runs are tested anyway.
+_SEGMENT = r"(?<![A-Za-z0-9+_-])(?:(?<=/)[A-Za-z0-9+_-]{20,}+={0,2}|[A-Za-z0-9+_-]{20,}+(?=/))"
+_PIECE = r"(?<![A-Za-z0-9])(?:(?<=[+/_-])[A-Za-z0-9]{20,}+={0,2}|[A-Za-z0-9]{20,}+(?=[+/_-]))"
 
 BASE = ["assign", "access", "hex"]
+#: Candidates for the tests of randomness, widest first.
+LEVELS = {"random": _RUN, "segment": _SEGMENT, "piece": _PIECE}
+
+
+def _candidate(m: Column) -> Column:
+    # Encodings have digits and letters; base kinds need no second finding.
+    return m.rlike("[0-9]") & m.rlike("[A-Za-z]") & ~m.rlike("^([0-9a-f]{32,}|AKIA[A-Z0-9]{12,})$")
+
+
 _PASSING = {
     "assign": lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8,
     "access": lambda m: F.length(m) >= 16,
     "hex": lambda m: F.lit(True),
-    # Encodings have digits and letters; base kinds need no second finding.
-    "random": lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & ~m.rlike("^([0-9a-f]{32,}|AKIA[A-Z0-9]{12,})$"),
+    "random": _candidate,
+    # A segment without other separators is a piece.  64 symbols show both cases within 20
+    # characters but for once in 30 000 random strings; words joined by separators do not.
+    "segment": lambda m: m.rlike("[+_-]") & m.rlike("[a-z]") & m.rlike("[A-Z]") & _candidate(m),
+    "piece": _candidate,
 }
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -68,12 +85,12 @@ def _alphabet(value: Column) -> tuple[Column, Column]:
     return name, letters
 
 
-def _measured(x: Column) -> Column:
+def _measured(x: Column, level: int) -> Column:
     """Encoding, alphabet size and the sums that the tests need, of one candidate."""
     value = F.rtrim(x["value"], F.lit("="))
     name, letters = _alphabet(value)
     return F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), name.alias("encoding"),
+        x["start"].alias("start"), x["end"].alias("end"), F.lit(level).alias("level"), name.alias("encoding"),
         F.length(letters).cast("double").alias("k"), F.length(value).cast("double").alias("n"),
         F.transform(F.split(value, ""), lambda c: F.instr(letters, c).cast("double") - 1).alias("v"),
     )
@@ -102,7 +119,7 @@ def _sums(x: Column) -> Column:
         ),
     )
     return F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), x["encoding"].alias("encoding"), x["k"].alias("k"), x["n"].alias("n"),
+        x["start"].alias("start"), x["end"].alias("end"), x["level"].alias("level"), x["encoding"].alias("encoding"), x["k"].alias("k"), x["n"].alias("n"),
         squares.alias("squares"), walk.alias("walk"), F.get(x["v"], F.lit(0)).alias("head"),
         F.element_at(x["v"], -1).alias("tail"),
     )
@@ -127,7 +144,7 @@ def _p_value(x: Column) -> Column:
 
 def _tested(x: Column) -> Column:
     return F.struct(
-        x["start"].alias("start"), x["end"].alias("end"),
+        x["start"].alias("start"), x["end"].alias("end"), x["level"].alias("level"),
         F.concat_ws(":", x["encoding"], F.floor(2 * F.log2(x["n"])).cast("string")).alias("band"),
         _p_value(x).alias("p"),
     )
@@ -155,15 +172,16 @@ def find_secrets(docs: DataFrame, text: str = "text", carry: list[str] | None =
 
     Columns: ``doc`` (the columns in ``carry``, all if not given, as a struct), ``base``
     and ``added``, arrays of ``kind, rank, start, end``.  Added spans (kind ``random``)
-    may lie within an assignment.  Strings without a digit or without a letter, and
+    may lie within an assignment; of a run and its parts the widest random one is a span.  Strings without a digit or without a letter, and
     shorter than 20 characters, are not tested: the tests have no power on them.  A null
     or empty text has no spans, and an empty table gives an empty result.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*(docs.columns if carry is None else carry)).alias("doc"), body.alias("_text"))
-    found = P.located(rows, "_text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": _RUN}, _PASSING).drop("_text")
+    found = P.located(rows, "_text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, **LEVELS}, _PASSING).drop("_text")
+    measured = F.concat(*[F.transform(k, lambda x: _measured(x, i)) for i, k in enumerate(LEVELS)])
     tests = found.select(
-        "doc", P.tagged(BASE).alias("base"), F.filter(F.transform("random", _measured), lambda x: x["encoding"].isNotNull()).alias("_r")
+        "doc", P.tagged(BASE).alias("base"), F.filter(measured, lambda x: x["encoding"].isNotNull()).alias("_r")
     ).withColumn("_r", F.transform("_r", _sums)).withColumn("_r", F.transform("_r", _tested))
     tests = keep(tests, "secrets")
     cuts = band_cuts(tests.select(F.explode("_r").alias("r")).select("r.band", "r.p"), false_share)
@@ -171,7 +189,11 @@ def find_secrets(docs: DataFrame, text: str = "text", carry: list[str] | None =
         F.array(*map(F.lit, cuts)).cast("array<string>"), F.array(*map(F.lit, cuts.values())).cast("array<double>")
     )
     random = F.filter("_r", lambda x: x["p"] > F.coalesce(F.try_element_at(limits, x["band"]), F.lit(1.0)))
-    return tests.withColumn("random", random).select(
+    # the widest of nested strings is reported
+    widest = F.filter("random", lambda x: (x["level"] == 0) | ~F.exists("random", lambda y: (
+        (y["level"] < x["level"]) & (y["start"] <= x["start"]) & (x["end"] <= y["end"])
+    )))
+    return tests.withColumn("random", random).withColumn("random", widest).select(
         "doc", "base", F.transform("random", lambda x: F.struct(
             F.lit("random").alias("kind"), F.lit(len(BASE)).alias("rank"), x["start"].alias("start"), x["end"].alias("end")
         )).alias("added"),
