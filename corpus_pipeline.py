@@ -21,9 +21,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language that the labelled documents teach; ``und`` goes.
 
     A text is ``und`` if it is null or has no letter; a short or mixed text keeps its most
-    likely language and stays.
+    likely language and stays.  Where no document has a language, all with a letter stay.
     """
     model = langid.train(docs, F.col("text"), F.col("lang"))
+    if model is None:
+        return docs.filter(langid.has_letter(F.col("text")))
     return langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select("doc.*")
 
 

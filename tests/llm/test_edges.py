@@ -161,6 +161,14 @@ def test_language_of_odd_inputs(spark):
     assert {r.lang_pred for r in langid.identify(frame, nothing).collect()} == {"und"}
 
 
+def test_texts_with_letters_stay_without_any_language(spark):
+    import corpus_pipeline
+
+    frame = docs(spark, ODD).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, frame, "")
+    assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == set(range(4, 9))
+
+
 def test_long_text_is_scored_whole():
     """Pieces of a long text give the n-grams of the text, each once."""
     import pyarrow as pa

@@ -176,6 +176,11 @@ def _scoring(shared):
     return run
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter; a null text has none."""
+    return F.coalesce(text.cast("string").rlike(_LETTER), F.lit(False))
+
+
 def identify(docs: DataFrame, model: Model | None, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The language of every whole text: ``doc`` (a struct), ``lang_pred``, ``score``.
 
@@ -189,7 +194,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", carry: li
     body = F.col(text).cast("string")
     rows = docs.select(
         F.struct(*(docs.columns if carry is None else carry)).alias("doc"),
-        F.lower(body).alias("_text"), F.coalesce(body.rlike(_LETTER), F.lit(False)).alias("_letters"),
+        F.lower(body).alias("_text"), has_letter(body).alias("_letters"),
     )
     kind = rows.select("doc", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return rows.mapInArrow(_scoring(shared), kind)
