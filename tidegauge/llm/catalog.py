@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    chat, decontaminate, disclosure, langid, mixing, neardup, patterns, secrets, sharding, topk, warc,
+    chat, decontaminate, disclosure, exactdup, langid, mixing, neardup, patterns, secrets, sharding, topk, warc,
 )
 from tidegauge.plans.registry import table
 
@@ -190,3 +190,18 @@ FROM k JOIN t ON t.conv_id = k.conv_id GROUP BY ALL
 @query("op2_snapshot_collapse", CHAT_SQL)
 def op2_snapshot_collapse(spark, sf_dir):
     return chat.collapsed(table(spark, sf_dir, "conversations"))
+
+
+EXACT_SQL = r"""
+WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
+       h AS text_sha256 FROM n WINDOW w AS (PARTITION BY h)
+"""
+
+
+@query("op13_exact_bloom_dedup", EXACT_SQL)
+def op13_exact_bloom_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exactdup.exact_duplicates(docs, carry=["doc_id"]).select(
+        "doc.doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
