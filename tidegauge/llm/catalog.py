@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    chat, decontaminate, disclosure, exactdup, langid, mixing, neardup, patterns, secrets, sharding, topk, warc,
+    chat, decontaminate, disclosure, exactdup, langid, merkle, mixing, neardup, patterns, resample, secrets, sharding,
+    topk, warc,
 )
 from tidegauge.plans.registry import table
 
@@ -205,3 +206,109 @@ def op13_exact_bloom_dedup(spark, sf_dir):
     return exactdup.exact_duplicates(docs, carry=["doc_id"]).select(
         "doc.doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+#: CRC-32 bytewise; its table of 256 entries follows from the reversed polynomial 0xEDB88320.
+_CRC_TABLE = """tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i)) AS crc)"""
+
+
+def _crc(code_units: str) -> str:
+    """SQL for the unsigned CRC-32 of a list of bytes."""
+    return (
+        f"xor(list_reduce({code_units}, lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT),"
+        " 4294967295)"
+    )
+
+
+MERKLE_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, source, {{leaf_text}} AS leaf, {{leaf_lower}} AS other,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n,
+             {_crc("list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)")} % 5 = 0 AS hit
+      FROM documents, tab),
+nodes AS (SELECT 0 AS lev, source, pos, leaf AS h, n FROM d
+          UNION ALL
+          SELECT lev + 1, source, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 15) // 16
+          FROM nodes WHERE n > 1 GROUP BY lev, source, pos // 16),
+sub AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (SELECT 0 AS lev, pos, h, n FROM sub
+        UNION ALL
+        SELECT lev + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 15) // 16
+        FROM top WHERE n > 1 GROUP BY lev, pos // 16),
+near AS (SELECT d.doc_id, k.lev, k.h, k.pos, d.pos >> (4 * k.lev) AS own
+         FROM d JOIN nodes k ON k.source IS NOT DISTINCT FROM d.source AND k.n > 1 AND k.pos >> 4 = d.pos >> (4 * k.lev + 4)
+         UNION ALL
+         SELECT d.doc_id, 100 + k.lev, k.h, k.pos, s.pos >> (4 * k.lev)
+         FROM d JOIN sub s ON s.source IS NOT DISTINCT FROM d.source
+         JOIN top k ON k.n > 1 AND k.pos >> 4 = s.pos >> (4 * k.lev + 4)),
+steps AS (SELECT doc_id, lev, coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < own), '') AS l,
+                 coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > own), '') AS r FROM near GROUP BY ALL),
+path AS (SELECT doc_id, list(l || '|' || r ORDER BY lev) AS p, string_agg(l || r, '' ORDER BY lev) AS sib FROM steps GROUP BY 1),
+f AS (SELECT d.doc_id, leaf, sub.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(coalesce(sib, '')) AS proof_sha256,
+             list_reduce(coalesce(p, []), lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2)),
+                         CASE WHEN hit THEN other ELSE leaf END) AS folded_root
+      FROM d JOIN sub ON sub.source IS NOT DISTINCT FROM d.source LEFT JOIN path USING (doc_id))
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+MERKLE_SQL = MERKLE_SQL.format(
+    leaf_text=_leaf_sql("text"), leaf_lower=_leaf_sql(f"translate(text, '{_CAPITALS}', '{_SMALL}')"))
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    """Proofs of all rows, each folded from the row as it is or, for a fifth, lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    kept = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.when(changed, merkle.leaf_hash(*kept, F.translate("text", _CAPITALS, _SMALL)))
+    manifest = merkle.build(
+        docs.withColumn("tampered", lowered), merkle.leaf_hash(*kept, F.col("text")), carry=["doc_id", "tampered"])
+    now = F.coalesce("doc.tampered", "leaf")
+    return manifest.proofs().select(
+        "doc.doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        merkle.folded(now, F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_WORDS_SQL = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+RESAMPLE_SQL = rf"""
+WITH {_CRC_TABLE},
+dw AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+bw AS (SELECT {_WORDS_SQL} AS w FROM benchmark),
+df AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM dw) GROUP BY ALL),
+tf AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM bw) GROUP BY ALL),
+v AS (SELECT w, {_crc("list_transform(range(0, strlen(w)), lambda i: ('0x' || substr(hex(w), 2 * i + 1, 2))::BIGINT)")} % 10000 AS b
+      FROM (SELECT w FROM df UNION SELECT w FROM tf), tab),
+s AS (SELECT b, sum(n) AS n FROM df JOIN v USING (w) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM tf JOIN v USING (w) GROUP BY b),
+totals AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE + 10000 AS s, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE + 10000 AS t),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * totals.s / ((coalesce(s.n, 0) + 1)::DOUBLE * totals.t)))::BIGINT AS g
+         FROM s FULL JOIN t USING (b), totals),
+doc AS (SELECT doc_id, sum(n)::BIGINT AS n, floor(sum(n * g)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+        FROM df JOIN v USING (w) JOIN gain USING (b) GROUP BY 1),
+r AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+      FROM documents LEFT JOIN doc USING (doc_id)),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             count(*) FILTER (n_features >= 20) OVER () AS n FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM p
+"""
+
+
+@query("op12_bitsliced_resampling", RESAMPLE_SQL)
+def op12_bitsliced_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resample.resampled(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("doc.doc_id", "n_features", "weight", "score", "rank")
