@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.sharding import row_numbers
-from tidegauge.llm.tables import ship
+from tidegauge.llm.tables import keep, ship
 from tidegauge.llm.wordhash import ALNUM, LOWER
 
 BUCKETS = 10_000
@@ -169,7 +169,8 @@ def resampled(
     gain = gains(corpus_counts(target, text, longest), corpus_counts(df, text, longest))
     rows = weighted(df, gain, text, list(dict.fromkeys([*(carry or df.columns), key])), longest)
     score = F.col("weight") + gumbel(F.col("doc")[key], seed)
-    rows = rows.withColumn("score", score).select(
+    # written, as range partitions read their input twice
+    rows = keep(rows, "weighted").withColumn("score", score).select(
         "*", (F.col("n_words") < least_words).alias("_short"), (-F.col("score")).alias("_down"), F.col("doc")[key].alias("_key"))
     placed, _ = row_numbers(rows, ["_short", "_down", "_key"], "_number")
     drawn = placed.filter("not _short").count() * share[0] // share[1]
