@@ -39,7 +39,7 @@ def test_holdout_search_prefers_the_better_penalty(spark):
     model = LinearRegression(labelCol="y")
     evaluator = ml.RegressionEvaluator(labelCol="y", metricName="rmse")
     fitted, params, score = ml.holdout_search(
-        ml.scaled_feature_stages(["x"]), model, ml.linear_grid(model), rows, rows, evaluator
+        ml.feature_stages(["x"], scale=True), model, ml.linear_grid(model), rows, rows, evaluator
     )
     assert {p.name: v for p, v in params.items()}["regParam"] == 0.01 and score < 0.1
     assert fitted.transform(rows).count() == 200

@@ -97,3 +97,12 @@ def hash_unit(*columns: Column) -> Column:
     """Deterministic value in [0, 1) from the text form of ``columns``."""
     digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in columns]))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+
+
+def digamma(n: Column) -> Column:
+    """Digamma of a positive number: eight steps of the recurrence, then its asymptotic series."""
+    x = n.cast("double")
+    far = x + 8
+    square = 1 / (far * far)
+    series = square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square * (1 / 240 - square * (1 / 132)))))
+    return F.log(far) - 1 / (2 * far) - series - reduce(lambda a, b: a + b, [1 / (x + i) for i in range(8)])

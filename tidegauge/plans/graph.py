@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators import graph
+from tidegauge.operators import graph, motif
 from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
 
@@ -142,6 +142,54 @@ def motif_two_hop(spark, sf_dir):
     return graph.two_hops(trade_graph(spark, sf_dir)[1]).orderBy("a_id", "b_id", "c_id")
 
 
+@query(
+    "motif_chain",
+    """SELECT 'C' || c_custkey AS customer, 'N' || n_nationkey AS nation FROM customer
+       JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 2""",
+)
+def motif_chain(spark, sf_dir):
+    """Conditions on both ends of a chain whose middle vertices are hubs."""
+    vertices, edges = geography_graph(spark, sf_dir)
+    found = motif.find_motif(vertices, edges, "(c)-[]->(n); (n)-[]->(r)", {"c": "id like 'C%'", "r": "id = 'R2'"})
+    return found.select(F.col("c.id").alias("customer"), F.col("n.id").alias("nation"))
+
+
+@query(
+    "motif_fork",
+    f"""WITH {_TRADE_SQL} SELECT x.src AS customer, x.dst AS first_supplier, y.dst AS second_supplier
+        FROM e x JOIN e y ON x.src = y.src AND x.dst < y.dst""",
+)
+def motif_fork(spark, sf_dir):
+    """Two named edges from one vertex, read from the structs of the edges."""
+    found = motif.find_motif(*trade_graph(spark, sf_dir), "(a)-[e]->(); (a)-[f]->()")
+    return found.filter("e.dst < f.dst").select(
+        F.col("a.id").alias("customer"), F.col("e.dst").alias("first_supplier"), F.col("f.dst").alias("second_supplier"))
+
+
+@query(
+    "motif_triangle",
+    f"""WITH {_PARTS_SQL} SELECT x.src AS id, count(*) AS cycles FROM e x JOIN e y ON y.src = x.dst
+        JOIN e z ON z.src = y.dst AND z.dst = x.src GROUP BY 1""",
+)
+def motif_triangle(spark, sf_dir):
+    """Directed cycles of three edges by their start."""
+    found = motif.find_motif(*parts_graph(spark, sf_dir), "(a)-[]->(b); (b)-[]->(c); (c)-[]->(a)")
+    return found.groupBy(F.col("a.id").alias("id")).agg(F.count("*").alias("cycles"))
+
+
+@query(
+    "motif_negated",
+    f"""WITH {_PARTS_SQL} SELECT x.src AS id, count(*) AS ways, count(DISTINCT y.dst) AS candidates
+        FROM e x JOIN e y ON y.src = x.dst
+        WHERE NOT EXISTS (SELECT 1 FROM e z WHERE z.src = x.src AND z.dst = y.dst) GROUP BY 1""",
+)
+def motif_negated(spark, sf_dir):
+    """Vertices two steps away that are not one step away."""
+    found = motif.find_motif(*parts_graph(spark, sf_dir), "(a)-[]->(b); (b)-[]->(c); !(a)-[]->(c)")
+    return found.groupBy(F.col("a.id").alias("id")).agg(
+        F.count("*").alias("ways"), F.count_distinct("c.id").alias("candidates"))
+
+
 @query(
     "graph_bfs",
     f"""WITH {_PARTS_SQL}, p1 AS (SELECT dst AS v1 FROM e WHERE src = 0),

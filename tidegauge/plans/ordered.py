@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
-from tidegauge.operators import features, ordered, relational, series, stationarity, stl
+from tidegauge.operators import features, neighbours, ordered, relational, series, stationarity, stl
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import R_COLUMNS, SENSORS_SQL, sensors
 from tidegauge.session import materialise
@@ -477,3 +477,29 @@ def horizon_zscores(spark, sf_dir):
     """Best short, medium and long window pair of the full grid, each as a feature."""
     means = ordered.index_rows(five_minute_means(spark, sf_dir), ["event_type", "bucket"])
     return features.horizon_zscores(means, "value").drop("rn")
+
+
+_KNN_SQL = f"""WITH {_BUCKETS_SQL},
+  w AS (SELECT rn, value, lead(value) OVER (ORDER BY rn) AS nxt, count(*) OVER a AS n3, avg(value) OVER a AS m3,
+               count(*) OVER b AS n12, avg(value) OVER b AS m12, stddev_samp(value) OVER b AS d12
+        FROM numbered WINDOW a AS (ORDER BY rn ROWS 2 PRECEDING), b AS (ORDER BY rn ROWS 11 PRECEDING)),
+  p AS (SELECT rn, round((m3 - m12) / d12, 6) AS x, round(nxt, 6) AS y FROM w WHERE n12 = 12 AND d12 > 0 AND nxt IS NOT NULL),
+  t AS (SELECT count(*) AS n FROM p),
+  d AS (SELECT a.rn, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy FROM p a JOIN p b ON a.rn <> b.rn),
+  r AS (SELECT rn, min(greatest(dx, dy), 3)[3] AS r FROM d GROUP BY rn),
+  c AS (SELECT rn, 1 + count(*) FILTER (dx < r OR dx = 0) AS nx, 1 + count(*) FILTER (dy < r OR dy = 0) AS ny FROM d JOIN r USING (rn) GROUP BY rn),
+  h AS (SELECT i + 1 AS n, -0.57721566490153286 + coalesce(sum(CASE WHEN i > 0 THEN 1.0::DOUBLE / i END) OVER (ORDER BY i), 0) AS psi
+        FROM range(0, (SELECT n FROM t) + 1) g(i))
+  SELECT any_value(t.n) AS n, round(greatest(0, any_value(a.psi) + any_value(k.psi) - avg(hx.psi) - avg(hy.psi)), 6) AS mutual_information
+  FROM c JOIN h hx ON hx.n = nx JOIN h hy ON hy.n = ny, t, h a, h k WHERE a.n = t.n AND k.n = 3"""
+
+
+@query("knn_mutual_information", _KNN_SQL)
+def knn_mutual_information(spark, sf_dir):
+    """How much the z-score (3 rows against 12) tells about the next value, by nearest neighbours."""
+    means = ordered.index_rows(five_minute_means(spark, sf_dir), ["event_type", "bucket"])
+    rolled = series.rolling_statistics(means, "value", {"m3": 3, "m12": 12}, {"d12": 12})
+    rows = series.lead_targets(rolled, ["value"], prefix="next_").filter("d12 > 0")
+    pairs = rows.select(F.round((F.col("m3") - F.col("m12")) / F.col("d12"), 6).alias("x"), F.round("next_value", 6).alias("y"))
+    found = neighbours.knn_mutual_information(pairs, "x", "y", k=3, scaled=False)
+    return found.select("n", F.round("mutual_information", 6).alias("mutual_information"))
