@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
 from tidegauge.operators import relational as R
-from tidegauge.operators import reports
+from tidegauge.operators import observed, reports
+from tidegauge.operators.folding import UserAggregate, user_aggregate
 from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
 from tidegauge.session import fresh_path
-from tidegauge.sources import readers, sinks
+from tidegauge.sources import inference, readers, sinks
 
 # ---------------------------------------------------------------- sources and sinks
 
@@ -62,6 +64,51 @@ def scan_provenance(spark, sf_dir):
     )
 
 
+#: Columns whose type differs between the lines of an order, as text.
+_MIXED = {
+    "id": "CAST(l_orderkey AS STRING)",
+    "amount": "CASE WHEN l_linenumber = 1 THEN CAST(CAST(l_quantity AS BIGINT) AS STRING) ELSE CAST(l_extendedprice AS STRING) END",
+    "code": "CASE WHEN l_linenumber = 3 THEN l_returnflag ELSE CAST(l_partkey AS STRING) END",
+    "shipped": "CASE WHEN l_linenumber <= 4 THEN CAST(CAST(l_shipdate AS DATE) AS STRING) ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) || ' 06:30:00' END",
+    "flag": "CASE WHEN l_linenumber < 7 THEN CASE WHEN l_tax > 0.04 THEN 'true' ELSE 'False' END END",
+    "large": "CAST(CASE WHEN l_linenumber = 2 THEN l_orderkey * 10000000000 ELSE l_orderkey END AS STRING)",
+}
+
+_MIXED_SQL = (
+    "WITH t AS (SELECT l_linenumber AS line, " + ", ".join(f"{sql} AS {name}" for name, sql in _MIXED.items())
+    + """ FROM lineitem),
+  u AS (SELECT line, unnest(['id', 'amount', 'code', 'shipped', 'flag', 'large']) AS "column",
+               unnest([id, amount, code, shipped, flag, large]) AS v FROM t),
+  c AS (SELECT line, "column", v, CASE WHEN v IS NULL THEN 0
+      WHEN regexp_full_match(v, '[0-9]+') THEN CASE WHEN TRY_CAST(v AS INT) IS NOT NULL THEN 2 ELSE 4 END
+      WHEN regexp_full_match(v, '[0-9]+[.][0-9]+([eE][0-9]+)?') THEN 8 WHEN lower(v) IN ('true', 'false') THEN 1
+      WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 16
+      WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2} .*') THEN 32 ELSE 64 END AS k FROM u),
+  f AS (SELECT line, "column", bit_or(k) AS m, count(*) AS n, count(*) FILTER (k = 0) AS blank FROM c GROUP BY ALL),
+  o AS (SELECT *, CASE WHEN m = 0 OR m >= 64 THEN 'string' WHEN m = 1 THEN 'boolean' WHEN m = 2 THEN 'int' WHEN m <= 6 AND m % 2 = 0 THEN 'bigint'
+      WHEN m <= 14 AND m % 2 = 0 THEN 'double' WHEN m = 16 THEN 'date' WHEN m IN (32, 48) THEN 'timestamp_ntz' ELSE 'string' END AS own
+      FROM (SELECT * FROM f UNION ALL SELECT NULL, "column", bit_or(m), sum(n), sum(blank) FROM f GROUP BY "column"))
+SELECT w."column", w.own AS "type", w.n::BIGINT AS n, w.blank::BIGINT AS blank, count(*) FILTER (o.m > 0 AND o.own <> w.own) AS drifting,
+       w.own = 'string' AND w.m > 0 AND (w.m <> 64 OR count(*) FILTER (o.m > 0 AND o.own <> 'string') > 0) AS conflict,
+       coalesce(string_agg(DISTINCT o.own, ',' ORDER BY o.own) FILTER (o.m > 0), '') AS own_types
+FROM o w JOIN o ON o."column" = w."column" AND o.line IS NOT NULL WHERE w.line IS NULL
+GROUP BY w."column", w.own, w.n, w.blank, w.m"""
+).replace("AS STRING)", "AS VARCHAR)")
+
+
+@query("infer_types", _MIXED_SQL)
+def infer_types(spark, sf_dir):
+    """Types of CSV columns over all values, with the lines of an order as kinds of files."""
+    path = fresh_path(spark, "mixed")
+    lines = table(spark, sf_dir, "lineitem")
+    lines.select(F.col("l_linenumber").alias("line"), *[F.expr(sql).alias(name) for name, sql in _MIXED.items()]).write.partitionBy(
+        "line").option("header", True).csv(path)
+    texts = inference.read_texts(spark, f"{path}/line=*/*.csv")
+    profile = inference.file_profile(texts, F.regexp_extract("_file", "line=([^/]+)/", 1))
+    return inference.type_report(profile).select(
+        "column", "type", "n", "blank", "drifting", "conflict", F.array_join("own_types", ",").alias("own_types"))
+
+
 @query("scan_tsv_pairs", "SELECT p_brand AS source, p_type AS target, p_name AS name FROM part")
 def scan_tsv_pairs(spark, sf_dir):
     path = fresh_path(spark, "pairs")
@@ -559,6 +606,81 @@ def aggregate_sum_count(spark, sf_dir):
     return R.sum_and_count(table(spark, sf_dir, "lineitem"), F.col("l_partkey"))
 
 
+def _range_of(state, batch):
+    """(n, sum, least, greatest) of the state and a batch's first column."""
+    column = batch.column(0).drop_null()
+    if not len(column):
+        return state
+    bounds = pc.min_max(column).as_py()
+    return _ranges_together(state, (len(column), pc.sum(column).as_py(), bounds["min"], bounds["max"]))
+
+
+def _ranges_together(a, b):
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    return a[0] + b[0], a[1] + b[1], min(a[2], b[2]), max(a[3], b[3])
+
+
+@query(
+    "user_aggregate_range",
+    """SELECT count(l_partkey) AS n, sum(l_partkey)::BIGINT AS total, min(l_partkey) AS least, max(l_partkey) AS greatest
+       FROM lineitem""",
+)
+def user_aggregate_range(spark, sf_dir):
+    """A step over Arrow batches, one state per task."""
+    how = UserAggregate(lambda: (0, 0, None, None), _range_of, _ranges_together,
+                        "struct<n: bigint, total: bigint, least: bigint, greatest: bigint>",
+                        result=lambda s: dict(zip(("n", "total", "least", "greatest"), s)), by_batch=True)
+    return user_aggregate(table(spark, sf_dir, "lineitem"), ["l_partkey"], how).select("value.*")
+
+
+@query(
+    "user_aggregate_months",
+    "SELECT l_suppkey, bit_or(1::BIGINT << month(l_shipdate)) AS months FROM lineitem GROUP BY 1",
+)
+def user_aggregate_months(spark, sf_dir):
+    """A set of months per supplier, held in the bits of a number."""
+    how = UserAggregate(lambda: 0, lambda bits, day: bits | 1 << day.month, lambda a, b: a | b, "bigint")
+    return user_aggregate(table(spark, sf_dir, "lineitem"), ["l_shipdate"], how, keys=["l_suppkey"], into="months")
+
+
+def _three(values):
+    return sorted(set(values), reverse=True)[:3]
+
+
+@query(
+    "user_aggregate_top",
+    """SELECT l_returnflag, string_agg(l_orderkey::VARCHAR, ',' ORDER BY l_orderkey DESC) AS orders
+       FROM (SELECT DISTINCT l_returnflag, l_orderkey, dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey DESC) AS r
+             FROM lineitem) WHERE r <= 3 GROUP BY 1""",
+)
+def user_aggregate_top(spark, sf_dir):
+    """The three greatest different orders of each flag: few keys, each of very many rows."""
+    how = UserAggregate(list, lambda best, order: best if order in best else _three([*best, order]),
+                        lambda a, b: _three(a + b), "array<bigint>")
+    found = user_aggregate(table(spark, sf_dir, "lineitem"), ["l_orderkey"], how, keys=["l_returnflag"], into="orders")
+    return found.withColumn("orders", F.array_join(F.col("orders").cast("array<string>"), ","))
+
+
+@query(
+    "observed_counts",
+    """SELECT count(*) AS "rows", count(*) FILTER (WHERE l_quantity > 10 AND l_discount < 0.03) AS matching,
+              count(*) FILTER (WHERE l_shipdate IS NULL) AS null_shipdate,
+              count(*) FILTER (WHERE NOT l_tax < l_discount) AS failed_taxed_less, count(*) AS written FROM lineitem""",
+)
+def observed_counts(spark, sf_dir):
+    """Counts that the one pass delivers which writes the rows."""
+    lines = table(spark, sf_dir, "lineitem")
+    counters = observed.quality_counters(lines.select("l_shipdate"), {"taxed_less": F.col("l_tax") < F.col("l_discount")})
+    counters["matching"] = F.count_if((F.col("l_quantity") > 10) & (F.col("l_discount") < 0.03))
+    path = fresh_path(spark, "counted")
+    counts = observed.write_counted(lines, path, counters)
+    return spark.read.parquet(path).agg(F.count("*").alias("written")).select(
+        *[F.lit(counts[n]).alias(a) for n, a in (
+            ("rows", "rows"), ("matching", "matching"), ("null_l_shipdate", "null_shipdate"),
+            ("failed_taxed_less", "failed_taxed_less"))], "written")
+
+
 @query(
     "map_values_tax",
     """SELECT l_orderkey, l_linenumber, l_extendedprice AS price,
