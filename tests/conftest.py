@@ -16,7 +16,11 @@ def make_session():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
-            "spark.driver.memory": "12g",
+            "spark.driver.memory": "8g",
+            # a long session of short queries: do not keep the plans of all of them
+            "spark.sql.ui.retainedExecutions": "20",
+            "spark.ui.retainedJobs": "50",
+            "spark.ui.retainedStages": "50",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidegauge-test-"),
         },
     )

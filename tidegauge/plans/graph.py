@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators import graph, motif
+from tidegauge.operators import graph, motif, paths
 from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
 
@@ -208,3 +208,24 @@ def graph_bfs(spark, sf_dir):
         (F.size("path") - 1).alias("hops"),
         F.array_join(F.col("path").cast("array<string>"), ",").alias("path"),
     )
+
+
+@query(
+    "graph_paths_between",
+    f"""WITH {_PARTS_SQL}, s AS (SELECT p_partkey AS v FROM part WHERE p_brand = (SELECT min(p_brand) FROM part)),
+        g AS (SELECT p_partkey AS v FROM part WHERE p_brand = (SELECT max(p_brand) FROM part)),
+        p1 AS (SELECT src AS v0, dst AS v1 FROM e JOIN s ON src = v), p2 AS (SELECT v0, v1, dst AS v2 FROM p1 JOIN e ON src = v1),
+        a AS (SELECT 1 AS hops, v0 AS first, v1 AS last, count(*) AS paths FROM p1 JOIN g ON v1 = v GROUP BY ALL
+              UNION ALL SELECT 2, v0, v2, count(*) FROM p2 JOIN g ON v2 = v GROUP BY ALL)
+        SELECT hops, last, sum(paths)::BIGINT AS paths FROM a WHERE hops = (SELECT min(hops) FROM a) GROUP BY ALL""",
+)
+def graph_paths_between(spark, sf_dir):
+    """Shortest paths from all parts of the first brand to all of the last, counted by their end."""
+    vertices, edges = parts_graph(spark, sf_dir)
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand")
+    first, last = parts.agg(F.min("p_brand"), F.max("p_brand")).first()
+    graph_of_paths = paths.path_graph(parts, edges, f"p_brand = '{first}'", f"p_brand = '{last}'", 2)
+    if graph_of_paths is None:
+        return parts.select(F.lit(0).alias("hops"), F.col("id").alias("last"), F.lit(0).cast("long").alias("paths")).limit(0)
+    return graph_of_paths.counts().select(
+        F.lit(graph_of_paths.length).alias("hops"), F.col("id").alias("last"), F.col("paths").cast("long").alias("paths"))

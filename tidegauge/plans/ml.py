@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
-from tidegauge.operators import features, ml, ordered, relational, series
+from tidegauge.operators import features, forest, ml, ordered, relational, series
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import LOWER, R_COLUMNS, SENSOR_COUNT, SENSORS_SQL, UPPER, sensors
 from tidegauge.session import materialise
@@ -216,17 +216,18 @@ def holdout_search(spark, sf_dir):
     )
 
 
+def sensor_forest(spark, sf_dir, trees=forest.TREES, depth=forest.DEPTH):
+    """Error metrics per sensor, for all sensors, of a forest grown on the training rows."""
+    split = long_sensors(spark, sf_dir)
+    grown = forest.grow_forest(split.filter("split = 'train'"), _FEATURES, "Target_R", trees, depth)
+    predicted = forest.predict(grown, split.filter("split = 'test'").select("Sensor_ID", "Target_R", *_FEATURES))
+    return ml.sensor_errors(predicted, "Sensor_ID", "Target_R")
+
+
 @query("rf_regression")
 def rf_regression(spark, sf_dir):
-    """Random forest of 200 trees, error metrics per sensor, for the fourteen sensors of a recording.
-
-    Two hundred trees of depth 20 have about as many nodes as two hundred copies of the
-    training rows, all held by the driver; that bounds the rows one forest can take.
-    """
-    model = ml.random_forest("Target_R")
-    return ml.train_sensor_model(
-        long_sensors(spark, sf_dir, count=14), model, ml.forest_grid(model), _FEATURES, "Target_R", "Sensor_ID"
-    )
+    """Random forest of 200 trees of depth 20 over all sensors; its one setting needs no search."""
+    return sensor_forest(spark, sf_dir)
 
 
 @query("lookback_forecast")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
 from tidegauge.operators import relational as R
-from tidegauge.operators import observed, reports
+from tidegauge.operators import observed, reports, sketches
 from tidegauge.operators.folding import UserAggregate, user_aggregate
 from tidegauge.operators.joins import lookup_join
 from tidegauge.plans.registry import query, table
@@ -288,6 +288,26 @@ def median_by_group(spark, sf_dir):
 # ---------------------------------------------------------------- profiles and filters
 
 
+@query(
+    "median_rollup",
+    """SELECT l_returnflag, count(*) AS n, true AS within FROM lineitem GROUP BY 1""",
+)
+def median_rollup(spark, sf_dir):
+    """Medians per flag from stored sketches per flag, supplier and month, with their exact
+    rank checked against the stated error (``within``)."""
+    lines = table(spark, sf_dir, "lineitem")
+    daily = lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path = fresh_path(spark, "sketches")
+    sketches.sketch_groups(daily, ["l_returnflag", "l_linestatus", "month"], "l_extendedprice").write.parquet(path)
+    medians = sketches.merge_groups(spark.read.parquet(path), ["l_returnflag"]).select(
+        "l_returnflag", "n", sketches.quantile("sketch", 0.5).alias("median"))
+    ranked = lookup_join(lines.select("l_returnflag", "l_extendedprice"), medians, ["l_returnflag"]).groupBy("l_returnflag", "n").agg(
+        F.avg((F.col("l_extendedprice") < F.col("median")).cast("int")).alias("below"),
+        F.avg((F.col("l_extendedprice") <= F.col("median")).cast("int")).alias("up_to"))
+    slack = 1.5 * sketches.rank_error()
+    return ranked.select("l_returnflag", "n", ((F.col("below") - slack <= 0.5) & (F.col("up_to") + slack >= 0.5)).alias("within"))
+
+
 @query(
     "sum_above_fraction_of_max",
     """SELECT round(sum(o_totalprice), 2) AS total, count(*) AS "rows" FROM orders

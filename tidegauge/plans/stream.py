@@ -39,3 +39,38 @@ def stream_tumbling_25m(spark, sf_dir):
     return streams.drain(means, "update", "means", ["start"]).select(
         F.col("start").cast("timestamp_ntz").alias("start"), F.round("value", 6).alias("value")
     )
+
+
+@query("stream_restart", _FIELDS + " SELECT word, count(*) AS count FROM f GROUP BY word")
+def stream_restart(spark, sf_dir):
+    """Word counts of a stream that triggers on time, is stopped after a batch, and goes on
+    from its checkpoint in a second run; equals the batch count."""
+    source = _staged(spark, lines(spark, sf_dir), "lines")
+    counts, root = streams.running_word_counts(source), fresh_path(spark, "restart")
+    streams.run_on(counts, root, "complete", batches=1, every="1 second")
+    streams.run_on(counts, root, "complete")
+    return streams.results(spark, root, counts.schema, "complete")
+
+
+@query(
+    "stream_late_rows",
+    """SELECT time_bucket(INTERVAL 25 MINUTES, ts, TIMESTAMP '1970-01-01') AS start, count(*) AS n,
+              round(sum(value), 6) AS total FROM events GROUP BY 1""",
+)
+def stream_late_rows(spark, sf_dir):
+    """Each quarter of the events is a run of its own; then the first quarter comes once more.
+
+    Its windows are final by then, so the watermark that the checkpoint has kept over the
+    restarts drops the rows, and the totals are those of the events.
+    """
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    low, high = events.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
+    quarter = F.least(F.floor((F.col("ts").cast("double") - low) / ((high - low) / 4 or 1.0)), F.lit(3))
+    folder, root = fresh_path(spark, "arrivals"), fresh_path(spark, "late")
+    totals = None
+    for part in (0, 1, 2, 3, 0):
+        events.filter(quarter == part).write.mode("append").parquet(folder)
+        totals = streams.windowed_totals(streams.file_stream(spark, folder, events.schema), "ts", "value", "25 minutes", "10 minutes")
+        streams.run_on(totals, root, "update")
+    return streams.results(spark, root, totals.schema, "update", ["start"]).select(
+        F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round("total", 6).alias("total"))
