@@ -356,17 +356,42 @@ def test_top_k_of_odd_vectors(spark):
     rows += [(i, rows[0][1]) for i in range(710, 760)] + [(760, [0.5, 0.25])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1)).repartition(4)
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
-    used = {i: np.floor(256 * np.array(v, np.float32).astype(np.float64)).astype(np.int64) for i, v in rows if i is not None and not 700 <= i < 705}
-    used = {i: np.pad(v, (0, 8 - len(v))) for i, v in used.items()}
-    want = []
-    for q in [i for i in used if i % 50 == 0]:
-        best = sorted((-int(used[q] @ v), i) for i, v in used.items() if i != q)[:5]
-        want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
-    assert sorted(map(tuple, got)) == sorted(want)
+    assert sorted(map(tuple, got)) == whole_number_top_k([(i, np.array(v, np.float32).tolist()) for i, v in rows if i is not None and not 700 <= i < 704])
     assert topk.top_k(frame.limit(0), F.lit(True)).count() == 0
     assert topk.top_k(frame.filter("vec_id = 0"), F.lit(True)).count() == 0
 
 
+def whole_number_top_k(rows, k=5):
+    """Every query against every row in Python integers; scores are cut to 64 bits last."""
+    used = {i: [math.floor(256 * Fraction(x)) for x in v] for i, v in rows}
+    want = []
+    for q in [i for i in used if i % 50 == 0]:
+        best = sorted((-sum(a * b for a, b in zip(used[q], v)), i) for i, v in used.items() if i != q)[:k]
+        want += [(q, r, i, min(max(-s, -(2**63)), 2**63 - 1)) for r, (s, i) in enumerate(best, 1)]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("large", [[3e5], [3e5, 1e12], [1e300, -1.7e308], [262_144.0, 262_145.0]])
+def test_top_k_of_large_components(spark, large, monkeypatch):
+    """Large queries and candidates among others, ties between them, scores on both sides of 64 bits."""
+    monkeypatch.setattr(topk, "LARGE_QUERIES", 2)
+    pick = np.random.default_rng(3)
+    rows = [(i, pick.normal(size=4).tolist()) for i in range(120)]
+    for n, i in enumerate([0, 7, 50, 63, 64, 99]):
+        rows[i] = (i, [*rows[i][1][:n % 4], large[n % len(large)] * (-1) ** n, *rows[i][1][n % 4 + 1:]])
+    rows += [(200 + j, rows[50][1]) for j in range(4)] + [(300, [1e6]), (301, []), (302, None), (303, [None, 3e5]), (304, [math.inf, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == whole_number_top_k([r for r in rows if r[0] not in (302, 303, 304)])
+
+
+def test_top_k_when_all_components_are_large(spark):
+    rows = [(i, [1e9 + i, -1e9 * (i % 3)]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == whole_number_top_k(rows)
+
+
 def test_pruned_search_scores_fewer_blocks():
     pick = np.random.default_rng(1)
     centres = pick.normal(size=(20, 16)) * 400
@@ -398,5 +423,12 @@ def test_snapshots_collapse(spark):
     assert set(got) == {(2, 0), (4, 0), (5, 0), (None, 0), (7, 0), (7, 1), (7, 2)}
     assert got[2, 0].copies == 2 and got[2, 0].n_turns == 3
     assert got[4, 0].rendered == "<|im_start|>user\nx < |im_end| ><|im_end|>\n<|im_start|>unknown\n<|im_end|>\n"
-    assert sum(got[7, p].rendered.count("<|im_start|>") for p in range(3)) == 600
+    ties = "".join(got[7, p].rendered for p in range(3))
+    assert re.findall("turn [0-9]+", ties) == sorted(f"turn {i}" for i in range(600))
     assert chat.collapsed(frame.limit(0)).count() == 0
+    # turns that are equal in turn and role follow their texts, nulls first, also beyond the part that decides the range
+    long = "x" * 100
+    texts = ["b", "x", "aa", "q", None, "", long + "b", long + "a", "é"]
+    tied = spark.createDataFrame([(1, 0, "user", t) for t in texts], "conv_id long, turn long, role string, text string").repartition(3)
+    lines = chat.collapsed(tied).first().rendered.split("<|im_end|>\n")[:-1]
+    assert [t.removeprefix("<|im_start|>user\n") for t in lines] == ["", *sorted(t for t in texts if t is not None)]
