@@ -178,7 +178,7 @@ WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER w - 1 AS pos,
                   string_agg(coalesce(length(role) || ':' || role, '-') || coalesce(length(text) || ':' || text, '-'), '')
                       OVER (w ROWS UNBOUNDED PRECEDING) AS pre,
                   count(*) OVER (PARTITION BY conv_id) AS n_turns
-           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)),
 f AS (SELECT pre, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM t WHERE pos = n_turns - 1 GROUP BY ALL),
 k AS (SELECT * FROM f WHERE pre NOT IN (SELECT pre FROM t WHERE pos < n_turns - 1))
 SELECT k.conv_id, t.pos // 256 AS page, k.n_turns, k.copies,

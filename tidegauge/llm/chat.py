@@ -19,6 +19,8 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Turns in one rendered page, and positions in one stretch of a running sum.
 PAGE_TURNS = 256
 _STRETCH = 4096
+#: Characters of a text that decide its range partition.
+BOUND_CHARS = 64
 _SUMS = ["_a", "_b", "_c", "_d"]
 
 
@@ -81,9 +83,9 @@ def collapsed(
         F.col(conv_id).alias("conv"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"),
         F.col(text).cast("string").alias("text"),
     )
-    # Long texts are told apart by a hash in the sort, so that range bounds stay small.
-    rows = rows.withColumn("_h", F.xxhash64("text"))
-    table, _ = row_numbers(rows, ["conv", "turn", "role", "_h"], "_n")
+    # Range bounds hold the start of a text only, so that they stay small; the sort within ranges compares whole texts.
+    rows = rows.withColumn("_start_of_text", F.substring("text", 1, BOUND_CHARS))
+    table, _ = row_numbers(rows, ["conv", "turn", "role", "_start_of_text"], "_n", then_by=["text"])
     starts = table.groupBy("conv").agg(F.min("_n").alias("_start")).withColumnRenamed("conv", "_conv")
     turns = table.join(starts, table["conv"].eqNullSafe(starts["_conv"])).select(
         "conv", "role", "text", (F.col("_n") - F.col("_start")).alias("pos")

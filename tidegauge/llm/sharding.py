@@ -82,15 +82,17 @@ def place(number: int, rows: int, key: int, shards: int) -> tuple[int, int]:
             return number % shards, number // shards
 
 
-def row_numbers(df: DataFrame, order_by: Sequence[str], into: str) -> tuple[DataFrame, int]:
+def row_numbers(df: DataFrame, order_by: Sequence[str], into: str, then_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
     """``df`` with a global row number from 0 in the given order, and the row count.
 
     Rows are range-partitioned and written once; a table of one row per partition gives
-    the offsets.  Equal rows take neighbouring numbers in any order.
+    the offsets.  Rows that are equal in ``order_by`` meet in one partition, where
+    ``then_by`` orders them; rows that are equal in both take neighbouring numbers in any
+    order.
     """
     at, part, spot = f"{into}_at", f"{into}_part", f"{into}_before"
     ordered = keep(
-        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn(at, F.monotonically_increasing_id()),
+        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by, *then_by).withColumn(at, F.monotonically_increasing_id()),
         "ordered",
     )
     number = F.shiftright(F.col(at), _LOCAL_BITS).cast("int")
