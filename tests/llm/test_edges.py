@@ -407,6 +407,18 @@ def test_pruned_search_scores_fewer_blocks():
     assert np.array_equal(best.scores, -np.sort(-(queries @ every.T), axis=1)[:, :5])
 
 
+# ---------------------------------------------------------------- long secrets
+
+
+def test_a_random_run_of_any_length_is_measured(spark):
+    """An embedded blob of 200 000 symbols: the work grows with its length, not its square."""
+    import base64
+
+    blob = base64.b64encode(random.Random(200_000).randbytes(150_000)).decode()
+    got = secrets.find_secrets(docs(spark, [f"x {blob} y"])).first()
+    assert [(s.start, s.end) for s in got.added] == [(2, 200_002)]
+
+
 # ---------------------------------------------------------------- chat
 
 

@@ -85,14 +85,23 @@ def _alphabet(value: Column) -> tuple[Column, Column]:
     return name, letters
 
 
-def _measured(x: Column, level: int) -> Column:
-    """Encoding, alphabet size and the sums that the tests need, of one candidate."""
+def _encoded(x: Column, level: int) -> Column:
+    """One candidate with its encoding.  A struct of its own: what reads the symbols of the
+    alphabet for every character must find them settled, not match the shapes again."""
     value = F.rtrim(x["value"], F.lit("="))
     name, letters = _alphabet(value)
     return F.struct(
         x["start"].alias("start"), x["end"].alias("end"), F.lit(level).alias("level"), name.alias("encoding"),
-        F.length(letters).cast("double").alias("k"), F.length(value).cast("double").alias("n"),
-        F.transform(F.split(value, ""), lambda c: F.instr(letters, c).cast("double") - 1).alias("v"),
+        letters.alias("letters"), value.alias("value"),
+    )
+
+
+def _measured(x: Column) -> Column:
+    """Alphabet size, length and the values of the characters of one candidate."""
+    return F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["level"].alias("level"), x["encoding"].alias("encoding"),
+        F.length(x["letters"]).cast("double").alias("k"), F.length(x["value"]).cast("double").alias("n"),
+        F.transform(F.split(x["value"], ""), lambda c: F.instr(x["letters"], c).cast("double") - 1).alias("v"),
     )
 
 
@@ -179,10 +188,10 @@ def find_secrets(docs: DataFrame, text: str = "text", carry: list[str] | None =
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*(docs.columns if carry is None else carry)).alias("doc"), body.alias("_text"))
     found = P.located(rows, "_text", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, **LEVELS}, _PASSING).drop("_text")
-    measured = F.concat(*[F.transform(k, lambda x: _measured(x, i)) for i, k in enumerate(LEVELS)])
+    encoded = F.concat(*[F.transform(k, lambda x: _encoded(x, i)) for i, k in enumerate(LEVELS)])
     tests = found.select(
-        "doc", P.tagged(BASE).alias("base"), F.filter(measured, lambda x: x["encoding"].isNotNull()).alias("_r")
-    ).withColumn("_r", F.transform("_r", _sums)).withColumn("_r", F.transform("_r", _tested))
+        "doc", P.tagged(BASE).alias("base"), F.filter(encoded, lambda x: x["encoding"].isNotNull()).alias("_r")
+    ).withColumn("_r", F.transform("_r", _measured)).withColumn("_r", F.transform("_r", _sums)).withColumn("_r", F.transform("_r", _tested))
     tests = keep(tests, "secrets")
     cuts = band_cuts(tests.select(F.explode("_r").alias("r")).select("r.band", "r.p"), false_share)
     limits = F.map_from_arrays(
