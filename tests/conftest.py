@@ -2,7 +2,11 @@ import os
 import sys
 import tempfile
 
-import pytest
+# Linear algebra in the driver with a pool of threads has come to a standstill beside Spark's.
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
