@@ -28,18 +28,28 @@ def running_starts(lengths: Column) -> Column:
     """
     zero = F.lit(0).cast("long")
 
+    def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+        """``body`` of a value that is computed once, not again in every function of ``body``."""
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
     def total(values: Column) -> Column:
         return F.aggregate(values, zero, lambda s, x: s + x)
 
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _CHUNK).cast("int")),
-        lambda k: F.slice(lengths, k * _CHUNK + 1, _CHUNK),
-    )
-    sums = F.transform(chunks, total)
-    return F.flatten(F.zip_with(
-        chunks, F.transform(sums, lambda _, k: total(F.slice(sums, 1, k))),
-        lambda part, base: F.transform(part, lambda _, i: base + total(F.slice(part, 1, i))),
-    ))
+    def cut(values: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int")),
+            lambda k: F.slice(values, k * _CHUNK + 1, _CHUNK),
+        )
+
+    def summed(chunks: Column, sums: Column) -> Column:
+        return F.flatten(F.zip_with(
+            chunks, F.transform(sums, lambda _, k: total(F.slice(sums, 1, k))),
+            lambda part, base: F.transform(part, lambda _, i: base + total(F.slice(part, 1, i))),
+        ))
+
+    return bound(lengths, lambda values: bound(cut(values), lambda chunks: bound(
+        F.transform(chunks, total), lambda sums: summed(chunks, sums)
+    )))
 
 
 def located(
