@@ -307,6 +307,57 @@ def test_disclosing_terms_are_found_over_whole_documents(spark):
         assert not any("@" in text[s.start - 1 : s.end + 1] for s in got[i].added)
 
 
+def test_copies_do_not_make_their_words_disclosing(spark):
+    lone = f"{prose(400, 1)} ask m.lone@mail.example.org please {prose(400, 2)}"
+    changed = lone.replace(" please ", " kindly ")
+    texts = [lone] * 5 + [changed] + [f"{prose(30, i + 70)} Quast at q.quast@mail.example.org {prose(30, i + 90)}" for i in range(4)]
+    texts += [f"{prose(40, i + 700)}" for i in range(60)]
+    got = disclosure.find_personal(docs(spark, texts)).orderBy("doc.doc_id").collect()
+    assert all(len(r.base) == 1 and not r.added for r in got[:6])
+    assert all("Quast" in {texts[i][s.start : s.end] for s in got[i].added} for i in range(6, 10))
+    assert all(not r.added for r in got[10:])
+
+
+def test_terms_of_long_documents_with_many_entities(spark):
+    mails = " ".join(f"m{i}@mail.example.org" for i in range(2000))
+    texts = [f"{mails} {' '.join(f'w{i}x' for i in range(4000))} {prose(50, k)} Quast" for k in range(3)]
+    texts += [f"{prose(40, k + 90)} Quast m1@mail.example.org" for k in range(3)]
+    texts += [" ".join([*(f"u{i}v" for i in range(200_000)), "Quast"]), *(prose(40, i + 700) for i in range(60))]
+    got = disclosure.find_personal(docs(spark, texts)).orderBy("doc.doc_id").collect()
+    assert [len(r.base) for r in got[:7]] == [2000, 2000, 2000, 1, 1, 1, 0]
+    assert [(s.start, s.end) for s in got[6].added] == [(len(texts[6]) - 5, len(texts[6]))]
+    assert all("Quast" in {texts[i][s.start : s.end] for s in got[i].added} for i in range(3, 6))
+
+
+def test_disclosing_terms_equal_a_count_of_all_pairs(spark):
+    pick = random.Random(5)
+    people = [f"P{chr(97 + i)}xx" for i in range(12)]
+    texts = []
+    for i in range(150):
+        who = pick.sample(range(12), pick.choice([0, 0, 1, 1, 2]))
+        body = [f"{people[w] if pick.random() < 0.97 else 'someone'} u{w % 9}@mail.example.org" for w in who]
+        texts.append(" ".join([prose(25, i), *body, prose(5, i + 1000)]))
+    texts += texts[:20]
+    got = disclosure.find_personal(docs(spark, texts), share=0.8, support=3).orderBy("doc.doc_id").collect()
+    mail, usable = re.compile(r"u\d@mail\.example\.org"), lambda t: len(t) >= 3 and re.search("[^\\W\\d_]", t)
+    different = [(set(mail.findall(t)), {w.lower() for w in re.findall(r"[^\W_]+", mail.sub(" ", t)) if usable(w)}) for t in dict.fromkeys(texts)]
+    count_e, count_t, count_b = {}, {}, {}
+    for e, t in different:
+        for counts, keys in ((count_e, e), (count_t, t), (count_b, itertools.product(e, t))):
+            for k in keys:
+                counts[k] = counts.get(k, 0) + 1
+    telling = set()
+    for (e, t), n in count_b.items():
+        content = math.log2(len(different) / count_e[e])
+        if n >= 3 and count_e[e] >= 3 and content + math.log2(n / count_t[t]) >= 0.8 * content:
+            telling.add(t)
+    assert telling & {p.lower() for p in people}
+    for text, r in zip(texts, got):
+        plain = mail.sub(lambda m: " " * len(m.group()), text)
+        want = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", plain) if m.group().lower() in telling]
+        assert [(s.start, s.end) for s in r.added] == want
+
+
 def test_running_starts(spark):
     for n in (1, 2, 255, 256, 257, 1000):
         got = spark.range(1).select(patterns.running_starts(F.sequence(F.lit(1), F.lit(n).cast("long")))).first()[0]

@@ -3,13 +3,15 @@
 Base kinds are found by their shapes.  Each found value is a protected entity.  How much a
 term tells about an entity is their pointwise mutual information over the documents of the
 corpus, ``log2(p(t, e) / (p(t) p(e)))``; a term that discloses at least ``share`` of the
-entity's own information content ``-log2 p(e)`` (in at least ``support`` documents) is a
-disclosing term.  Wherever it stands, in any document, it is a span of its own: a
+entity's own information content ``-log2 p(e)`` (in at least ``support`` different
+documents) is a disclosing term.  Wherever it stands, in any document, it is a span of its own: a
 capitalised term is generalised to a name, any other is removed.  Built-in functions only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ PATTERNS = {
 }
 BASE = list(PATTERNS)
 ADDED = ["name", "term"]
+_ADDED = "array<struct<kind:string,rank:int,start:long,end:long>>"
+#: Rows of a lookup table that is broadcast; larger ones are shuffled.
+LOOKUP_ROWS = 250_000
+#: Least hashes by which near copies are told.
+VERSIONS = 3
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _SIGN = r"[\p{L}\p{N}]"
 _TERM = _SIGN + "+"
@@ -80,38 +87,73 @@ def _entities(kind: str) -> Column:
     return F.transform(kind, lambda x: F.concat(F.lit(f"{kind}:"), F.lower(x["value"])))
 
 
+def _versions(text: Column) -> Column:
+    """Least hashes of the pairs of neighbouring words, one per seed.
+
+    Two texts agree in each of them with the probability of the overlap of their pairs, so
+    copies with small changes nearly always share one, and texts of their own hardly ever do.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.xxhash64(a, b))
+    held = F.when(rest > 0, pairs).otherwise(F.array(F.xxhash64(text)))
+    return F.array(*[F.array_min(F.transform(held, lambda h: F.xxhash64(h, F.lit(seed)))) for seed in range(VERSIONS)])
+
+
 def disclosing_terms(documents: DataFrame, total: int, share: float, support: int) -> DataFrame:
     """Terms that disclose an entity by their co-occurrence over whole documents.
 
-    ``documents`` has every text outside of its entities (``_text``) and the distinct
-    entities of it (``_entities``); ``total`` is the number of documents.
+    ``documents`` holds ``total`` different documents: a number ``_rid``, every text outside of
+    its entities (``_text``) and its distinct entities (``_entities``).
+
+    Entities of the same documents tell the same, and so do terms: each set of documents is
+    one class, known by its size and the exclusive or of its hashed numbers, and pairs are
+    counted between classes.  A pair reaches the share only if the term is in at most
+    ``n_entity ** share * total ** (1 - share)`` documents; others are not counted.
     """
+    member = F.bit_xor(F.xxhash64("_rid"))
     held = documents.filter(F.size("_entities") > 0)
+    listed = held.select("_rid", F.explode("_entities").alias("entity"))
     entities = (
-        held.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+        listed.groupBy("entity").agg(F.count("*").alias("n_entity"), member.alias("e_set"))
         .filter((F.col("n_entity") >= support) & (F.col("n_entity") < total))
     )
-    # A pair has at most n_entity documents, so rarer entities and terms cannot reach the support.
-    repeated = lookup_join(
-        held.select("_rid", F.explode("_entities").alias("entity")), entities.select("entity"), ["entity"], how="inner"
-    ).groupBy("_rid").agg(F.collect_list("entity").alias("_e"))
+    by_document = (
+        lookup_join(listed, entities, ["entity"], how="inner", rows=LOOKUP_ROWS).groupBy("_rid")
+        .agg(F.collect_set(F.struct("e_set", "n_entity")).alias("_e"), F.max("n_entity").alias("_top"))
+    )
     terms = keep(
-        documents.select(F.explode(_words(F.col("_text"))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= support),
+        documents.select("_rid", F.explode(_words(F.col("_text"))).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("n_term"), member.alias("t_set")).filter(F.col("n_term") >= support),
         "terms",
     )
-    both = keep(
-        held.select("_rid", _words(F.col("_text")).alias("_w")).join(repeated, "_rid")
-        .select("_e", F.explode("_w").alias("term")).select("term", F.explode("_e").alias("entity"))
-        .groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support),
-        "pairs",
+
+    def reach(n: Column) -> Column:
+        return F.pow(n, F.lit(share)) * F.pow(F.lit(float(max(total, 1))), F.lit(1 - share)) * (1 + 1e-9)
+
+    naming = keep(held.select("_rid", "_text").join(by_document, "_rid").select(
+        "_rid", "_e", "_top", _versions(F.col("_text")).alias("_v"), _words(F.col("_text")).alias("_w")
+    ), "naming")
+    top = naming.agg(F.max("_top")).first()[0]
+    rare = keep(terms.filter(F.col("n_term") <= reach(F.lit(top or 0))), "rare")
+    near = (
+        lookup_join(naming.select("_rid", "_top", F.explode("_w").alias("term")), rare, ["term"], how="inner", rows=LOOKUP_ROWS, derived=False)
+        .filter(F.col("n_term") <= reach(F.col("_top")))
+        .groupBy("_rid").agg(F.collect_set(F.struct("t_set", "n_term")).alias("_t"))
     )
+    pairs = (
+        naming.select("_rid", "_e", "_v").join(near, "_rid")
+        .select("_v", "_t", F.inline("_e")).select("_v", "e_set", "n_entity", F.inline("_t"))
+        .filter(F.col("n_term") <= reach(F.col("n_entity")))
+    )
+    several = [F.min(F.get("_v", F.lit(i))) < F.max(F.get("_v", F.lit(i))) for i in range(VERSIONS)]
+    both = pairs.groupBy("e_set", "n_entity", "t_set", "n_term").agg(
+        F.count("*").alias("n_both"), reduce(lambda a, b: a & b, several).alias("_several")
+    ).filter(F.col("_several") & (F.col("n_both") >= support))
     content = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
     shared = content + F.log2(F.col("n_both") / F.col("n_term"))
-    return (
-        lookup_join(lookup_join(both, entities, ["entity"], how="inner"), terms, ["term"], how="inner", derived=False)
-        .filter(shared >= share * content).select("term").distinct()
-    )
+    telling = both.filter(shared >= share * content).select("t_set", "n_term").distinct()
+    return lookup_join(rare, telling, ["t_set", "n_term"], how="inner", rows=LOOKUP_ROWS).select("term")
 
 
 def find_personal(
@@ -125,34 +167,39 @@ def find_personal(
     compared in lower case over whole documents; every occurrence of a disclosing term
     is a span, also in documents without the entity.
 
-    A null or empty text has no spans.  Repeated rows count as documents of their own.  An
-    entity of every document tells nothing and has no disclosing terms.  An empty table
-    gives an empty result.
+    Documents with equal texts count once (told by a 64-bit hash and the length), and a term
+    discloses only if it stands by the entity in texts that are no near copies of each other
+    (:func:`_versions`); so copies do not make their words disclosing.  All of them get their spans.
+    A null or empty text has no spans.  An entity of every document tells nothing and has no
+    disclosing terms.  An empty table gives an empty result.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*(docs.columns if carry is None else carry)).alias("doc"), body.alias("_text"))
-    found = _blanked(P.located(rows, "_text", PATTERNS, _PASSING))
-    found = keep(found.select(
-        F.monotonically_increasing_id().alias("_rid"), "doc", P.tagged(BASE).alias("base"),
+    located = P.located(rows.withColumn("_copy", F.struct(F.xxhash64("_text"), F.length("_text"))), "_text", PATTERNS, _PASSING)
+    found = keep(_blanked(located).select(
+        F.monotonically_increasing_id().alias("_rid"), "doc", P.tagged(BASE).alias("base"), "_copy",
         F.array_distinct(F.concat(*[_entities(k) for k in BASE])).alias("_entities"), "_text",
     ), "personal")
-    giving = disclosing_terms(found.select("_rid", "_entities", "_text"), found.count(), share, support)
-    forms = found.select("_rid", F.explode(_forms(F.col("_text"))).alias("form")).withColumn("term", F.lower("form"))
-    sought = lookup_join(forms, giving, ["term"], how="inner").groupBy("_rid").agg(F.concat(
-        F.lit(rf"(?<!{_SIGN})(?:"), F.array_join(F.sort_array(F.collect_list("form")), "|"), F.lit(rf")(?!{_SIGN})")
-    ).alias("_pattern"))
-    placed = P.located(
-        found.drop("_entities").join(sought, "_rid", "left"), "_text", {"term": F.col("_pattern")}, {"term": lambda m: F.lit(True)}
-    )
-
-    def span(x: Column) -> Column:
-        name = x["value"].rlike(r"^\p{Lu}")
-        return F.struct(
-            F.when(name, "name").otherwise("term").alias("kind"), F.when(name, len(BASE)).otherwise(len(BASE) + 1).alias("rank"),
-            x["start"].alias("start"), x["end"].alias("end"),
-        )
-
-    return placed.select("doc", "base", F.transform("term", span).alias("added"))
+    firsts = keep(found.groupBy("_copy").agg(F.min("_rid").alias("_first"), F.count("*").alias("_n")), "texts")
+    once = lookup_join(
+        found.select("_rid", "_copy", "_entities", "_text"), firsts.filter("_n > 1").select("_copy", "_first"), ["_copy"], rows=LOOKUP_ROWS
+    ).filter(F.coalesce("_first", "_rid") == F.col("_rid")).select("_rid", "_entities", "_text")
+    giving = keep(disclosing_terms(once, firsts.count(), share, support), "disclosing")
+
+    def of_giving(terms: DataFrame) -> DataFrame:
+        return lookup_join(terms, giving, ["term"], how="inner", rows=LOOKUP_ROWS, derived=False)
+
+    holding = of_giving(found.select("_rid", F.explode(_words(F.col("_text"))).alias("term"))).select("_rid").distinct()
+    texts = lookup_join(found.select("_rid", "_text"), holding, ["_rid"], how="inner", rows=LOOKUP_ROWS)
+    # outer: the plain form would look for words in all texts, before the join with those that hold any
+    words = P.located(texts, "_text", {"word": _TERM}, {"word": _usable}).select("_rid", F.inline_outer("word")).filter("value is not null")
+    name = F.col("value").rlike(r"^\p{Lu}")
+    spans = of_giving(words.withColumn("term", F.lower("value"))).select("_rid", F.struct(
+        F.when(name, "name").otherwise("term").alias("kind"), F.when(name, len(BASE)).otherwise(len(BASE) + 1).alias("rank"),
+        "start", "end",
+    ).alias("s")).groupBy("_rid").agg(F.collect_list("s").alias("_added"))
+    added = F.array_sort(F.coalesce("_added", F.array().cast(_ADDED)), lambda a, b: (a["start"] - b["start"]).cast("int"))
+    return found.select("_rid", "doc", "base").join(spans, "_rid", "left").select("doc", "base", added.alias("added"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
