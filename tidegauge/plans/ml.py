@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
-from tidegauge.operators import features, forest, ml, ordered, relational, series
+from tidegauge.operators import boosting, features, forest, ml, ordered, relational, series
 from tidegauge.plans.registry import query, table
 from tidegauge.plans.relational import LOWER, R_COLUMNS, SENSOR_COUNT, SENSORS_SQL, UPPER, sensors
 from tidegauge.session import materialise
@@ -230,15 +230,26 @@ def rf_regression(spark, sf_dir):
     return sensor_forest(spark, sf_dir)
 
 
-@query("lookback_forecast")
-def lookback_forecast(spark, sf_dir):
-    """Ridge regression on thirty-row windows, error metrics per sensor."""
+def lookback_frame(spark, sf_dir):
+    """Thirty-row windows of all sensors with their next readings, split by position."""
     logged = sensors(spark, sf_dir).select("vec_id", *[F.log1p(c).alias(c) for c in R_COLUMNS])
     led = series.lead_targets(ordered.index_rows(logged, ["vec_id"]), R_COLUMNS)
     windows = series.lookback_windows(led, R_COLUMNS, 30)
     renumbered = windows.withColumn("rn", F.col("rn") - 30)
-    split = ordered.positional_split(renumbered, renumbered.count())
-    long = ml.lookback_forecast(split, [f"Target_{c}" for c in R_COLUMNS])
+    return ordered.positional_split(renumbered, renumbered.count())
+
+
+@query("lookback_forecast")
+def lookback_forecast(spark, sf_dir):
+    """Ridge regression on thirty-row windows, error metrics per sensor."""
+    long = ml.lookback_forecast(lookback_frame(spark, sf_dir), [f"Target_{c}" for c in R_COLUMNS])
+    return ml.sensor_errors(long, "Sensor_ID", "truth")
+
+
+@query("boosted_forecast")
+def boosted_forecast(spark, sf_dir):
+    """Gradient-boosted trees on thirty-row windows, error metrics per sensor."""
+    long = boosting.boosted_forecast(lookback_frame(spark, sf_dir), [f"Target_{c}" for c in R_COLUMNS])
     return ml.sensor_errors(long, "Sensor_ID", "truth")
 
 
