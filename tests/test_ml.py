@@ -91,3 +91,16 @@ def test_training_frame_searches_all_window_pairs(spark, sf_dir, monkeypatch):
     want = [p for shorts, longs in features.HORIZONS.values() for p in features.window_pairs(shorts, longs)]
     assert len(want) > 6000 and searched == {c: want for c in plans._MEANS}
     assert rows.select(*[F.count_if(F.col(c).isNull()) for c in plans._CONTEXT if c.endswith("zscore")]).first()[:] == (0,) * 6
+
+
+def test_melted_rows_are_spread_and_only_needed_columns_kept(spark, tmp_path, monkeypatch):
+    rows = [(i, [float((i * j) % 7 + 1) for j in range(1, 65)], i % 3) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    few = plans.long_sensors(spark, str(tmp_path), count=2)
+    monkeypatch.setattr(plans, "MELTED_ROWS_PER_TASK", 5)
+    many = plans.long_sensors(spark, str(tmp_path), count=2)
+    assert few.rdd.getNumPartitions() < 16 <= many.rdd.getNumPartitions()
+    assert few.select("vec_id", "Sensor_ID", "split").exceptAll(many.select("vec_id", "Sensor_ID", "split")).isEmpty()
+    model = LinearRegression(featuresCol="features", labelCol="y", weightCol="w")
+    evaluator = ml.RegressionEvaluator(labelCol="z", metricName="rmse")
+    assert ml._columns_of(model, evaluator) == ["features", "y", "w", "z"]
