@@ -98,3 +98,24 @@ def test_join_order():
     assert names("(a)-[x]->(b); (a)-[y]->(d); (b)-[z]->(c); (c)-[w]->(a)") == ["x", "z", "w", "y"]
     # a selective edge comes first, and what must not exist as soon as its vertices are known
     assert names("(a)-[x]->(b); (b)-[y]->(c); (c)-[z]->(d); !(c)-[]->(b)", {"z": 0.01}) == ["z", "y", "_e3", "x"]
+
+
+CLOSED = ["(a)-[]->(b); (b)-[]->(c); (c)-[]->(a)", "(a)-[]->(b); (b)-[]->(c); !(a)-[]->(c)", "(a)-[]->(b); (c)-[]->(b); !(c)-[]->(a)"]
+
+
+@pytest.mark.parametrize("pattern", CLOSED)
+@pytest.mark.parametrize("length,per_salt,bare", [(1000, 10**6, True), (2, 10**6, False), (1000, 6, True)])
+def test_closed_by_lists(spark, net, monkeypatch, pattern, length, per_salt, bare):
+    """Without parallel edges no row per path is joined, unless a vertex has a long list or very many paths."""
+    vertices, _, rows, names = net
+    pairs = sorted({(a, b) for a, b, _ in rows if not bare or max(a, b) < 15})
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    monkeypatch.setattr(motif, "LIST_LENGTH", length)
+    if length == 1000 and per_salt > 100:
+        for name in ("pair_join", "_without"):
+            monkeypatch.setattr(motif, name, lambda *_, **__: pytest.fail("a row per path"))
+    if bare:
+        monkeypatch.setattr(motif, "lookup_join", lambda *_, **__: pytest.fail("ids looked up for every path"))
+    want = brute([(a, b, 0) for a, b in pairs], names, pattern)
+    got = motif.find_motif(vertices.select("id") if bare else vertices, edges, pattern, per_salt=per_salt)
+    assert want and found(got) == want

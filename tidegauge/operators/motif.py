@@ -15,8 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.joins import ROWS_PER_SALT, lookup_join, pair_join, salted_lookup_join
-from tidegauge.session import materialise
+from tidegauge.operators.joins import ROWS_PER_SALT, lookup_join, pair_join, salted_lookup_join, small
+from tidegauge.session import materialise, shuffle_tasks
+
+# Neighbours in one list; a vertex with more is closed row by row.
+LIST_LENGTH = 1_000
+# Paths that one task makes from lists.
+PATHS_PER_TASK = 4_000_000
 
 _TERM = re.compile(r"(!?)\s*\(\s*(\w*)\s*\)\s*-\s*\[\s*(\w*)\s*\]\s*->\s*\(\s*(\w*)\s*\)")
 
@@ -93,13 +98,18 @@ class Degrees:
         return both / max(self.edges, 1)
 
 
-def degree_sums(edges: DataFrame) -> Degrees:
-    """One pass: each edge counts at both ends, partial sums first."""
+def vertex_degrees(edges: DataFrame) -> DataFrame:
+    """Out- and in-degree per vertex that has an edge (``id, o, i``): partial sums first."""
     ends = edges.select(F.explode(F.array(
         F.struct(F.col("src").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i")),
         F.struct(F.col("dst").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i")),
     )).alias("x"))
-    counts = ends.groupBy("x.id").agg(F.sum("x.o").cast("double").alias("o"), F.sum("x.i").cast("double").alias("i"))
+    return ends.groupBy("x.id").agg(F.sum("x.o").cast("double").alias("o"), F.sum("x.i").cast("double").alias("i"))
+
+
+def degree_sums(edges: DataFrame, counts: DataFrame | None = None) -> Degrees:
+    """One pass over the ``vertex_degrees`` of the edges, which may be given."""
+    counts = vertex_degrees(edges) if counts is None else counts
     row = counts.agg(F.sum("o"), F.sum(F.col("o") * F.col("o")), F.sum(F.col("i") * F.col("i")), F.sum(F.col("i") * F.col("o"))).first()
     return Degrees(int(row[0] or 0), *[v or 0.0 for v in row[1:]])
 
@@ -158,7 +168,9 @@ def find_motif(
     edges of that vertex before any join.  Edges to unknown vertices match only unnamed ends.
     Null ids match nothing.
 
-    Joins carry ids (and the rows of named edges) only; vertex rows are attached at the end.
+    Joins carry ids (and the rows of named edges) only; vertex rows are attached at the end,
+    unless vertices are nothing but their ids.  A step to a new vertex that further edges
+    close (or must not) moves lists of neighbours, not a row per path (see :func:`_closed`).
     A vertex with more than ``per_salt`` edges or matches is split over salts on both sides.
     """
     where = dict(where or {})
@@ -180,23 +192,112 @@ def find_motif(
             rows = lookup_join(rows, admitted[v].withColumnRenamed("id", _vertex(v)), [_vertex(v)], "inner", derived=False)
         return rows
 
+    counts = materialise(vertex_degrees(links), "degrees")
+    degrees = degree_sums(links, counts)
+    bare = vertices.columns == ["id"] and _all_once(vertices, counts)
     candidates = {t.edge: of_term(t) for t in positive}
-    degrees = degree_sums(links)
     limited = [t for t in positive if t.ends & admitted.keys() or t.src == t.dst]
     for t in limited:
         candidates[t.edge] = materialise(candidates[t.edge], "term")
     share = {t.edge: candidates[t.edge].count() / max(degrees.edges, 1) for t in limited}
 
     found: DataFrame | None = None
-    for t in join_order(terms, degrees, share):
+    order, roles = join_order(terms, degrees, share), {}
+    while order:
+        t = order.pop(0)
         if t.negated:
             found = _without(found, links, t, per_salt)
-        elif found is None:
+            continue
+        if found is None:
             found = candidates[t.edge]
         else:
-            on = [_vertex(v) for v in sorted(t.ends) if _vertex(v) in found.columns]
-            found = pair_join(found, candidates[t.edge], on, per_salt=per_salt)
-    return _named(found, vertices, positive, per_salt)
+            bound = [v for v in sorted(t.ends) if _vertex(v) in found.columns]
+            closing = order[0] if order and len(bound) == 1 and _closes(t, order[0], found) else None
+            fan = degrees.fan_out(roles[bound[0]], "src" if t.src == bound[0] else "dst")
+            closed = closing and _closed(found, candidates, links, t, closing, bound[0], fan, per_salt)
+            if closed is not None:
+                found = closed
+                order.pop(0)
+            else:
+                found = pair_join(found, candidates[t.edge], list(map(_vertex, bound)), per_salt=per_salt)
+        for name, end in ((t.src, "src"), (t.dst, "dst")):
+            roles.setdefault(name, end)
+    return _named(found, None if bare else vertices, positive, per_salt)
+
+
+def _all_once(vertices: DataFrame, degrees: DataFrame) -> bool:
+    """Whether every vertex with an edge is there, and once: then to look it up changes nothing."""
+    known = vertices.filter("id is not null").groupBy("id").agg(F.count("*").alias("_n"))
+    met = degrees.select(F.col("id").alias("_end")).join(known, F.col("_end") == F.col("id"), "left")
+    return met.filter("_n is null or _n > 1").isEmpty()
+
+
+def _closes(t: Term, c: Term, found: DataFrame) -> bool:
+    """Whether ``c`` only tests paths that ``t`` leads to a new vertex, and no edge has a name."""
+    new = [v for v in t.ends if _vertex(v) not in found.columns]
+    others = c.ends - set(new)
+    return (
+        len(new) == 1 and set(new) < c.ends and all(_vertex(v) in found.columns for v in others)
+        and _hidden(t.edge) and _hidden(c.edge)
+    )
+
+
+def _lists(rows: DataFrame, key: str, other: str, into: str) -> tuple[DataFrame, DataFrame]:
+    """The ``other`` ends per ``key`` in lists, and the keys that need several (``_lists``).
+
+    Equal ends come into the same list.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > LIST_LENGTH)
+    many = materialise(counts.select(key, F.ceil(F.col("_n") / LIST_LENGTH).cast("int").alias("_lists")), "many")
+    place = F.lit(0) if many.isEmpty() else F.pmod(F.xxhash64(other), F.coalesce("_lists", F.lit(1)))
+    numbered = rows if many.isEmpty() else rows.join(small(many), key, "left")
+    lists = numbered.groupBy(key, place.alias("_list")).agg(F.collect_list(other).alias(into))
+    return materialise(lists.drop("_list"), "lists"), many
+
+
+def _parallel(lists: DataFrame, column: str) -> bool:
+    return not lists.filter(F.size(F.array_distinct(column)) < F.size(column)).isEmpty()
+
+
+def _closed(
+    found: DataFrame, candidates: Mapping[str, DataFrame], links: DataFrame, t: Term, c: Term, bound: str, fan: float,
+    per_salt: int,
+) -> DataFrame | None:
+    """``found`` with a step ``t`` from ``bound`` to a new vertex, and ``c``, which closes it.
+
+    Each match takes the list of the step's ends to the other end of ``c``, where that one's
+    own list leaves those that (do not) close.  A row per path is made only there.  Matches
+    at an end with a long list, or with very many paths, are closed row by row.  None if there
+    are parallel edges, which lists cannot count.
+    """
+    (new,) = t.ends - {bound}
+    (end,) = c.ends - {new}
+    x, y, z = map(_vertex, (bound, new, end))
+    if c.negated:
+        near = links.select(F.col("src").alias(_vertex(c.src)), F.col("dst").alias(_vertex(c.dst)))
+    else:
+        near = candidates[c.edge]
+    steps, _ = _lists(candidates[t.edge], x, y, "_steps")
+    ends, many = _lists(near, z, y, "_ends")
+    if _parallel(steps, "_steps") or (not c.negated and _parallel(ends, "_ends")):
+        return None
+    found = materialise(found, "found")
+    busy = found.groupBy(z).agg(F.count("*").alias("_n")).filter(F.col("_n") * max(fan, 1.0) > per_salt)
+    apart = materialise(busy.select(z).unionAll(many.select(z)).distinct(), "apart")
+    paths = salted_lookup_join(found, steps, [x], "inner", per_salt)
+    tasks = max(shuffle_tasks(found.sparkSession), -(-int(found.count() * fan) // PATHS_PER_TASK))
+    some = not apart.isEmpty()
+    few = paths.join(small(apart), z, "left_anti") if some else paths
+    met = few.repartition(tasks, z).join(ends.withColumnRenamed(z, "_z"), F.col(z) == F.col("_z"), "left" if c.negated else "inner")
+    none = F.array().cast(ends.schema["_ends"].dataType)
+    kept = F.array_except("_steps", F.coalesce("_ends", none)) if c.negated else F.array_intersect("_steps", "_ends")
+    closed = met.select(*found.columns, F.explode(kept).alias(y))
+    if not some:
+        return closed
+    rows = paths.join(small(apart), z, "left_semi").select(*found.columns, F.explode("_steps").alias(y))
+    if c.negated:
+        return closed.unionByName(_without(rows, links, c, per_salt))
+    return closed.unionByName(pair_join(rows, near, sorted([y, z]), per_salt=per_salt))
 
 
 def _without(found: DataFrame, links: DataFrame, t: Term, per_salt: int) -> DataFrame:
@@ -208,12 +309,16 @@ def _without(found: DataFrame, links: DataFrame, t: Term, per_salt: int) -> Data
     return met.filter("_there is null").drop("_there")
 
 
-def _named(found: DataFrame, vertices: DataFrame, positive: Sequence[Term], per_salt: int) -> DataFrame:
+def _named(found: DataFrame, vertices: DataFrame | None, positive: Sequence[Term], per_salt: int) -> DataFrame:
+    """A struct per name; without ``vertices``, a vertex is its id."""
     columns = []
     for t in positive:
         for name, column in ((t.src, _vertex(t.src)), (t.edge, _edge(t.edge)), (t.dst, _vertex(t.dst))):
             if not _hidden(name) and (name, column) not in columns:
                 columns.append((name, column))
+    if vertices is None:
+        return found.select(*[
+            (F.struct(F.col(c).alias("id")) if c == _vertex(n) else F.col(c)).alias(n) for n, c in columns])
     rows = vertices.select(F.col("id").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in vertices.columns]).alias("_row"))
     for name, column in columns:
         if column == _vertex(name):
