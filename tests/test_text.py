@@ -23,6 +23,14 @@ def test_windows(docs, length, stride, block):
     assert got == want
 
 
+@pytest.mark.parametrize("pieces", [1, 3, 5, 1000])
+def test_windows_are_cut_from_pieces(docs, monkeypatch, pieces):
+    """However short the pieces, and whether or not they divide a block, each window comes once."""
+    monkeypatch.setattr(text, "PIECE_WINDOWS", pieces)
+    got = sorted(tuple(r) for r in text.char_windows(docs, "text", 10, 3, 7).collect())
+    assert got == sorted((i, s, t[s : s + 10], t[s + 10]) for i, t in enumerate(TEXTS) for s in range(0, len(t) - 10, 3))
+
+
 def test_blocks_cover_the_text(docs):
     rows = text.text_blocks(docs, "text", 7, 3).collect()
     for i, t in enumerate(TEXTS):

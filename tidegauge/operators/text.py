@@ -16,6 +16,8 @@ from tidegauge.operators.joins import stored_bytes
 from tidegauge.session import BROADCAST_BYTES
 
 PAD, START = 0, 1
+# Windows that are cut from one piece of a block.
+PIECE_WINDOWS = 16
 
 
 def tokens(df: DataFrame, column: str, into: str = "word") -> DataFrame:
@@ -169,15 +171,26 @@ def char_windows(
     blocks = text_blocks(df, column, size, overlap=length)
     # windows take `length / stride` times the room of the text: spread blocks first
     blocks = blocks.repartition(*others, "block_start")
-    # a window needs its label inside the block; the block covers starts 0 .. size - 1
-    last = F.least(F.length("block") - length - 1, F.lit(size - 1))
-    starts = blocks.filter(F.length("block") > length).select(
-        *others, "block_start", "block",
-        F.explode(F.sequence(F.lit(0), last, F.lit(stride))).alias("_at"),
+    # a substring is found by counting characters, so each window is cut from a short piece of its block
+    step = stride * min(max(block_windows, 1), PIECE_WINDOWS)
+
+    def starts_in(text: str, upto: int, every: int) -> Column:
+        """A window needs its label inside the text, which covers starts 0 .. upto - 1."""
+        last = F.least(F.length(text) - length - 1, F.lit(upto - 1))
+        return F.explode(F.sequence(F.lit(0), last, F.lit(every)))
+
+    pieces = blocks.filter(F.length("block") > length).select(
+        *others, "block_start", "block", starts_in("block", size, step).alias("_from")
+    ).select(
+        *others, (F.col("block_start") + F.col("_from")).alias("_from"),
+        # the last piece of a block ends with the block's starts
+        F.substring("block", F.col("_from") + 1, F.least(F.lit(step), size - F.col("_from")) + length).alias("_piece"),
     )
-    return starts.select(
-        *others,
-        (F.col("block_start") + F.col("_at")).alias("start"),
-        F.substring(F.col("block"), F.col("_at") + 1, F.lit(length)).alias("window"),
-        F.substring(F.col("block"), F.col("_at") + length + 1, F.lit(1)).alias("next_char"),
+    cut = pieces.select(*others, "_from", "_piece", starts_in("_piece", step, stride).alias("_at")).select(
+        *others, (F.col("_from") + F.col("_at")).alias("start"),
+        F.substring("_piece", F.col("_at") + 1, F.lit(length + 1)).alias("_both"),
+    )
+    return cut.select(
+        *others, "start", F.substring("_both", 1, length).alias("window"),
+        F.substring("_both", length + 1, 1).alias("next_char"),
     )
