@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import scalar as S
 from tidegauge.operators import relational as R
-from tidegauge.operators import reports, text
+from tidegauge.operators import joins, reports, text
 from tidegauge.sources import readers, sinks
 
 
@@ -112,3 +112,18 @@ def test_error_metrics(spark):
     assert [r["Sensor_ID"] for r in got] == ["Sensor_R2", "Sensor_R10"]
     first = got[0]
     assert (first["MAE"], first["MAPE"], first["R2"], first["Mean_Error"], first["Std_Error"]) == (0.5, 50.0, 0.5, -0.5, 0.5)
+
+
+def test_subtract_moves_rows_once_and_writes_none(spark, monkeypatch):
+    rows = [(i % 7 or None, f"x{i % 5}" if i % 3 else None) for i in range(200)] + [(9, "hot")] * 50 + [(8, "hot too")] * 40
+    left = spark.createDataFrame(rows, "a int, b string")
+    gone = {(9, "hot"), (1, None), (None, None), (2, "x1")}
+    right = spark.createDataFrame([*gone, *gone, (77, "other")], "a int, b string")
+    want = sorted((r for r in rows if r not in gone), key=str)
+    for per_salt, per_task in ((30, 500_000), (10**6, 10), (10**6, 500_000)):
+        monkeypatch.setattr(joins, "ROWS_PER_TASK", per_task)
+        written = []
+        monkeypatch.setattr(joins, "materialise", lambda df, label="table": (written.append(label), df.localCheckpoint())[1])
+        got = R.bag_subtract(left, right, per_salt)
+        assert got.columns == ["a", "b"] and sorted((tuple(r) for r in got.collect()), key=str) == want
+        assert set(written) <= {"hot", "hot-keys"}
