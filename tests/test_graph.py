@@ -93,3 +93,14 @@ def test_two_hops(hub):
     _, edges, pairs = hub
     want = {(a, b, d) for a, b in pairs for c, d in pairs if b == c}
     assert {tuple(r) for r in graph.two_hops(edges).collect()} == want
+
+
+def test_page_rank_looks_up_no_link_and_deals_buckets_by_links(hub, monkeypatch):
+    vertices, edges, _ = hub
+    want = as_dict(graph.page_rank(vertices, edges))
+    asked, bucketed = [], graph._bucketed
+    monkeypatch.setattr(graph, "lookup_join", lambda *_, **__: pytest.fail("a lookup per link"))
+    monkeypatch.setattr(graph, "LINKS_PER_BUCKET", 5)
+    monkeypatch.setattr(graph, "_bucketed", lambda df, on, label, n: (asked.append(n), bucketed(df, on, label, n))[1])
+    got = as_dict(graph.page_rank(vertices, edges))
+    assert min(asked) > 8 and all(abs(got[i] - want[i]) < 1e-9 for i in want)

@@ -46,6 +46,9 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- PageRank
 
+# Links in one bucket, whose senders' ranks a task holds.
+LINKS_PER_BUCKET = 1_000_000
+
 
 def page_rank(
     vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iterations: int = 10,
@@ -56,51 +59,49 @@ def page_rank(
     With ``normalise`` the ranks are scaled to sum to the vertex count, which only
     matters when vertices without outgoing edges let rank drain away.
 
-    With more than ``bucket_rows`` links, links and vertices are stored bucketed, so that the only shuffle of an iteration is
-    that of the (partially summed) contributions to their targets.  A source with more than ``per_salt`` links is
+    Links and vertices are stored bucketed, so that the only shuffle of an iteration is
+    that of the (partially summed) contributions to their targets.  A vertex knows its number
+    of links, so that links need no lookup, and ranks are hashed, so that links are not sorted;
+    the number of buckets grows with the links.  A source with more than ``per_salt`` links is
     split over salts, and its rank is copied to each of them.
     """
     pairs = materialise(edges.groupBy("src", "dst").agg(F.count("*").alias("_m")), "pairs")
-    out = pairs.groupBy("src").agg(F.sum("_m").alias("_out"))
-    weighted = lookup_join(pairs, out, ["src"]).select(
-        "src", "dst", (F.col("_m") / F.col("_out")).alias("weight")
-    )
-    hot = (
-        pairs.groupBy("src")
-        .agg(F.count("*").alias("_k"))
-        .filter(F.col("_k") > per_salt)
-        .select(F.col("src").alias("id"), F.ceil(F.col("_k") / per_salt).cast("int").alias("_salts"))
+    sources = materialise(pairs.groupBy("src").agg(F.sum("_m").alias("_out"), F.count("*").alias("_k")), "sources")
+    hot = sources.filter(F.col("_k") > per_salt).select(
+        F.col("src").alias("id"), F.ceil(F.col("_k") / per_salt).cast("int").alias("_salts")
     )
     hot = small(materialise(hot, "hot"))
     salted = not hot.isEmpty()
     on = ["src", "_salt"] if salted else ["src"]
-    links = weighted
+    links = pairs
     if salted:
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("_salts")), F.lit(0)).cast("int")
-        links = weighted.join(hot, F.col("src") == F.col("id"), "left").select(
-            "src", "dst", "weight", salt.alias("_salt")
-        )
-    stored, links_name = _bucketed(links, on, "links")
-    ids, ids_name = _bucketed(vertices.select("id").distinct(), ["id"], "vertices")
+        links = pairs.join(hot, F.col("src") == F.col("id"), "left").select("src", "dst", "_m", salt.alias("_salt"))
+    buckets = max(shuffle_tasks(edges.sparkSession), -(-pairs.count() // LINKS_PER_BUCKET))
+    stored, links_name = _bucketed(links, on, "links", buckets)
+    known = vertices.select("id").distinct().join(sources.select(F.col("src").alias("id"), "_out"), "id", "left")
+    ids, ids_name = _bucketed(known, ["id"], "vertices", buckets)
     ranks = ids.withColumn("pagerank", F.lit(1.0))
     for step in range(1, iterations + 1):
-        senders = ranks.withColumnRenamed("id", "src")
+        share = (F.col("pagerank") / F.col("_out")).alias("_share")
+        senders = ranks.select(F.col("id").alias("src"), share)
         if salted:
             copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
             senders = ranks.join(hot, "id", "left").select(
-                F.col("id").alias("src"), F.explode(copies).alias("_salt"), "pagerank"
+                F.col("id").alias("src"), F.explode(copies).alias("_salt"), share
             )
         received = (
-            stored.join(senders.hint("merge"), on)
+            stored.join(senders.hint("shuffle_hash"), on)
             .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("weight") * F.col("pagerank")).alias("_in"))
+            .agg(F.sum(F.col("_m") * F.col("_share")).alias("_in"))
         )
-        ranks = ids.join(received.hint("merge"), "id", "left").select(
-            "id",
+        ranks = ids.join(received.hint("shuffle_hash"), "id", "left").select(
+            "id", "_out",
             (F.lit(reset) + (1.0 - reset) * F.coalesce("_in", F.lit(0.0))).alias("pagerank"),
         )
         if step % cut_every == 0 or step == iterations:
             ranks = materialise(ranks, "ranks")
+    ranks = ranks.select("id", "pagerank")
     for name in (links_name, ids_name):  # only the catalog entries; the ranks are written
         edges.sparkSession.sql(f"DROP TABLE {name}")
     if not normalise:
@@ -109,11 +110,10 @@ def page_rank(
     return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
 
 
-def _bucketed(df: DataFrame, on: list[str], label: str) -> tuple[DataFrame, str]:
+def _bucketed(df: DataFrame, on: list[str], label: str, buckets: int) -> tuple[DataFrame, str]:
     """``df`` stored in the shared folder, bucketed and sorted; also its table name."""
     spark = df.sparkSession
     name = f"tidegauge_{label}_{uuid.uuid4().hex}"
-    buckets = shuffle_tasks(spark)
     (
         df.repartition(buckets, *on)
         .write.bucketBy(buckets, *on)
