@@ -73,3 +73,19 @@ def test_sensor_forest_covers_all_sensors(spark, sf_dir, monkeypatch):
     rows = plans.sensor_forest(spark, sf_dir, trees=16, depth=4).collect()
     assert len({r.Sensor_ID for r in rows}) == len(rows) == plans.SENSOR_COUNT
     assert all(r.RMSE >= 0 for r in rows)
+
+
+def test_rows_beyond_the_bags_of_all_trees_make_larger_bags(spark, monkeypatch):
+    """Four times the rows: as many trees, so that a row takes no longer to score; tasks by rows, not by files."""
+    monkeypatch.setattr(forest, "BAG_ROWS", 100)
+    monkeypatch.setattr(forest, "SCORED_PER_TASK", 100)
+    tasks = []
+    spreading = forest.spread
+    monkeypatch.setattr(forest, "spread", lambda df, *a: (tasks.append(spreading(df, *a).rdd.getNumPartitions()), spreading(df, *a))[1])
+    for n in (2000, 8000):
+        frame = spark.createDataFrame(wavy(n, n)).coalesce(1)
+        grown = forest.grow_forest(frame, ["f0", "f1"], "y", trees=16, depth=4)
+        assert grown.trees == 16 and forest.predict(grown, frame).filter("prediction is not null").count() == n
+    assert tasks == [20, 80]
+    monkeypatch.setattr(forest, "LARGEST_BAG", 250)
+    assert forest.bag_size(8000, 16) == 250 and forest.bag_size(1000, 16) == 100
