@@ -192,3 +192,14 @@ def test_mutual_information_extremes(spark):
     independent = spark.createDataFrame([(i, j, 5) for i in range(4) for j in range(3)], "x int, y int, n long")
     assert abs(features.mutual_information(same, "x", "y").first()[0] - math.log(4)) < 1e-12
     assert abs(features.mutual_information(independent, "x", "y").first()[0]) < 1e-12
+
+
+def test_lookback_windows_are_dealt_over_tasks(spark):
+    """Wide windows of a small table do not end up in the one task that its rows would fit into."""
+    n = 3 * series.WINDOW_CHUNK_ROWS + 5
+    rows = spark.range(n).select(F.col("id").alias("rn"), (F.col("id") * 2).alias("x")).coalesce(1)
+    windows = series.lookback_windows(rows, ["x"], 3)
+    sizes = windows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 1
+    assert windows.filter("window <> array(array(2D * rn - 6), array(2D * rn - 4), array(2D * rn - 2))").isEmpty()
+    assert windows.count() == n - 3
